@@ -8,13 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 
 from lakestar.contracts import Contract
 from lakestar.functions.dates import parse_partial_date
-from lakestar.operators.joins import count_rows
 from lakestar.operators.projection import as_column, canonicalize, union_by_name
 
 TIMESTAMPS = (TimestampType, TimestampNTZType)
@@ -52,6 +51,19 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union_by_name(*profiles)
 
 
+def observe_counts(df: DataFrame, **metrics: Column) -> tuple[Observation, DataFrame]:
+    """Count rows, and any further aggregates, while the frame is written or aggregated.
+
+    The observation holds ``rows`` and the named metrics after the first action on the returned
+    frame, so no separate counting job is needed.
+    """
+    observation = Observation()
+    observed = df.observe(
+        observation, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in metrics.items())
+    )
+    return observation, observed
+
+
 def reconcile_counts(original: DataFrame, saved: DataFrame) -> DataFrame:
     """One row (original_count, saved_count, counts_match) from one partial aggregate of both."""
     sides = [
@@ -157,8 +169,3 @@ def extract_summary(entities: Mapping[str, DataFrame]) -> DataFrame:
         for name, df in entities.items()
     ]
     return union_by_name(*counts)
-
-
-def counts_by_table(tables: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Row counts of several stored tables as plain numbers, for logs and checks."""
-    return {name: count_rows(df) for name, df in tables.items()}
