@@ -55,7 +55,8 @@ def observe_counts(df: DataFrame, **metrics: Column) -> tuple[Observation, DataF
     """Count rows, and any further aggregates, while the frame is written or aggregated.
 
     The observation holds ``rows`` and the named metrics after the first action on the returned
-    frame, so no separate counting job is needed.
+    frame, so no separate counting job is needed. Counts are exact where the returned frame is
+    written as it is; below a later shuffle a lost executor can have rows counted again.
     """
     observation = Observation()
     observed = df.observe(

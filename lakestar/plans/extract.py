@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from lakestar.contracts import RAW_ALBUMS, RAW_ARTISTS, RAW_TRACKS, Contract
 from lakestar.functions.dates import run_stamp
 from lakestar.operators.joins import count_rows
-from lakestar.operators.quality import observe_counts
 from lakestar.plans.layout import Layout, Metrics
-from lakestar.sources.landing import read_csv_contract
+from lakestar.sources.landing import SOURCE_FILE, read_csv_contract
 from lakestar.sources.pages import (
     flatten_albums, flatten_artists, flatten_items, flatten_songs, read_pages,
 )
@@ -52,25 +51,18 @@ def _land_and_stage(
 ) -> dict[str, int]:
     """Land, read back, stage, and compare the counts of all three.
 
-    Extracted rows are counted while landing and landed rows while staging, so only the staged copy
-    is read for its count.
+    Extracted and landed rows are counted by the two writes, so only the staged copy is read again.
     """
-    extracted, df = observe_counts(df)
-    landed_path = land_snapshot(df, layout.raw, name, as_of)
-    landed_rows = read_csv_contract(spark, landed_path, contract)
-    landed, landed_rows = observe_counts(landed_rows.select(*contract.text_schema().names))
+    landed_path, extracted = land_snapshot(df, layout.raw, name, as_of)
+    landed_rows = read_csv_contract(spark, landed_path, contract).drop(SOURCE_FILE)
     if name == "songs":
         folder = f"{layout.staged}/{name}"
-        staged_path = stage_clustered(landed_rows, folder, "artist_id", as_of, buckets)
+        staged_path, landed = stage_clustered(landed_rows, folder, "artist_id", as_of, buckets)
         staged = spark.read.parquet(staged_path)
     else:
-        staged_path = land_snapshot(landed_rows, layout.staged, name, as_of)
+        staged_path, landed = land_snapshot(landed_rows, layout.staged, name, as_of)
         staged = read_csv_contract(spark, staged_path, contract)
-    counts = {
-        "extracted": extracted.get["rows"],
-        "landed": landed.get["rows"],
-        "staged": count_rows(staged),
-    }
+    counts = {"extracted": extracted, "landed": landed, "staged": count_rows(staged)}
     if len(set(counts.values())) > 1:
         raise RuntimeError(f"{name}: counts differ after landing or staging: {counts}")
     return counts

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.sources.pages import ALBUM, PAGES, TRACK
+from lakestar.sources.pages import ALBUM, ITEMS, TRACK
 
 LINK = "web"
 
@@ -18,6 +18,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores before costly expressions, if the scan has fewer partitions.
+
+    A supplied file is a single row group, hence a single task. A scan of a large table has more
+    partitions than the cluster has cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cents(column: str) -> Column:
     """Money as whole cents: sums of integers do not depend on the order of the rows."""
     return F.round(F.col(column) * 100).cast("bigint")
@@ -43,9 +53,9 @@ def pages(spark: SparkSession, sf: str, renamed: bool = False) -> DataFrame:
     Line 7 has no artists, returned lines have no album and the bare track has neither. With
     ``renamed`` every seventh supplier has another name, as in a later extract.
     """
-    line = table(spark, sf, "lineitem").select(
+    line = spread(table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate"
-    )
+    ))
     order, part, supplier = (F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey"))
     following = (F.col("l_suppkey") + 1).cast("string")
 
@@ -93,5 +103,5 @@ def pages(spark: SparkSession, sf: str, renamed: bool = False) -> DataFrame:
         order.alias("playlist_id"),
         F.col("l_orderkey").alias("playlist_position"),
         F.col("l_linenumber").cast("bigint").alias("page_offset"),
-        items.cast(PAGES["items"].dataType).alias("items"),
+        items.cast(ITEMS).alias("items"),
     )

@@ -508,7 +508,7 @@ DOCUMENT = Contract(
 @query("SELECT count(*) AS original_count, count(*) AS saved_count, TRUE AS counts_match FROM documents")
 def reconcile_counts(spark: SparkSession, sf: str) -> DataFrame:
     documents = _documents(spark, sf)
-    path = writers.land_snapshot(documents, scratch_dir(spark, "counts"), "documents", DAY1)
+    path, _ = writers.land_snapshot(documents, scratch_dir(spark, "counts"), "documents", DAY1)
     return quality.reconcile_counts(documents, landing.read_csv_contract(spark, path, DOCUMENT))
 
 
@@ -591,7 +591,7 @@ def _three_formats(spark: SparkSession, sf: str) -> str:
 @query("SELECT page_id, url, html FROM pages")
 def read_csv_contract(spark: SparkSession, sf: str) -> DataFrame:
     """Whole HTML pages, with their quotes and newlines, through CSV and back."""
-    path = writers.land_snapshot(table(spark, sf, "pages"), scratch_dir(spark, "csv"), "pages", DAY1)
+    path, _ = writers.land_snapshot(table(spark, sf, "pages"), scratch_dir(spark, "csv"), "pages", DAY1)
     return landing.read_landing(spark, path, PAGE, "csv").drop("source_file")
 
 
@@ -604,7 +604,7 @@ def read_json_contract(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT doc_id, text, lang, source FROM documents")
 def land_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    path = writers.land_snapshot(_documents(spark, sf), scratch_dir(spark, "land"), "documents", DAY1)
+    path, _ = writers.land_snapshot(_documents(spark, sf), scratch_dir(spark, "land"), "documents", DAY1)
     return landing.read_landing(spark, path, DOCUMENT, "csv").drop("source_file")
 
 
@@ -651,7 +651,7 @@ SELECT l_suppkey, 1 AS n_buckets, TRUE AS in_range, count(*) AS n_rows,
 """)
 def stage_clustered(spark: SparkSession, sf: str) -> DataFrame:
     """All rows of a supplier end in one of ten buckets."""
-    path = writers.stage_clustered(
+    path, _ = writers.stage_clustered(
         table(spark, sf, "lineitem"), scratch_dir(spark, "staged"), "l_suppkey", DAY1)
     return spark.read.parquet(path).groupBy("l_suppkey").agg(
         F.count_distinct("bucket").cast("int").alias("n_buckets"),

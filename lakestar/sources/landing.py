@@ -24,6 +24,8 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+# An empty cell is null and a quoted empty text stays a text, as the writer tells them apart.
+CSV_READ_OPTIONS = {**CSV_OPTIONS, "nullValue": "\x00"}
 
 
 def landing_files(spark: SparkSession, folder: str, formats: Sequence[str] = FORMATS) -> DataFrame:
@@ -76,7 +78,7 @@ def read_csv_contract(
     off for large files known to have none.
     """
     schema = _with_corrupt(contract.text_schema(), corrupt)
-    reader = _reader(spark, "csv", skip_unreadable).options(**CSV_OPTIONS)
+    reader = _reader(spark, "csv", skip_unreadable).options(**CSV_READ_OPTIONS)
     reader = reader.option("multiLine", str(multi_line).lower()).option("enforceSchema", "false")
     return with_source_file(reader.option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(path))
 
@@ -145,7 +147,9 @@ def corrupt_rows(spark: SparkSession, folder: str, contract: Contract) -> DataFr
     for fmt in present_formats(spark, folder):
         if fmt != "parquet":
             df = READERS[fmt](spark, folder, contract, corrupt=True)
-            bad.append(df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, SOURCE_FILE))
+            # Spark refuses to read the corrupt column alone, so the filter looks at the others too.
+            others = F.length(F.concat_ws("", *(c for c in df.columns if c not in (CORRUPT, SOURCE_FILE))))
+            bad.append(df.filter(F.col(CORRUPT).isNotNull() & (others >= 0)).select(CORRUPT, SOURCE_FILE))
     if not bad:
         return spark.createDataFrame([], f"{CORRUPT} string, {SOURCE_FILE} string")
     return union_by_name(*bad)

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from lakestar.operators.dedup import dedup_last_batch
 from lakestar.operators.projection import as_column
@@ -23,10 +22,8 @@ TRACK = (
     "struct<id: string, name: string, duration_ms: int, popularity: int, "
     f"external_urls: map<string, string>, album: {ALBUM}, artists: array<{ARTIST}>>"
 )
-PAGES = StructType.fromDDL(
-    "playlist_id string, playlist_position bigint, page_offset bigint, "
-    f"items array<struct<added_at: string, track: {TRACK}>>"
-)
+ITEMS = f"array<struct<added_at: string, track: {TRACK}>>"
+PAGES = f"playlist_id string, playlist_position bigint, page_offset bigint, items {ITEMS}"
 POSITION = ("page_offset", "item_position")
 
 
@@ -36,10 +33,14 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def flatten_items(pages: DataFrame) -> DataFrame:
-    """One row per item that has a track, with its position."""
+    """One row per item that has a track, with its position.
+
+    The outer form keeps Catalyst from testing the array's size beforehand, which would compute a
+    derived array twice; pages without items fall to the filter on the track.
+    """
     items = pages.select(
         "playlist_id", "playlist_position", "page_offset",
-        F.posexplode("items").alias("item_position", "item"),
+        F.posexplode_outer("items").alias("item_position", "item"),
     )
     return items.select(
         "playlist_id", "playlist_position", "page_offset", "item_position",

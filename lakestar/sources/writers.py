@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.functions.dates import run_stamp
-from lakestar.operators.quality import drop_empty_rows, fill_timestamps, sanitize_timestamps
+from lakestar.operators.quality import (
+    drop_empty_rows, fill_timestamps, observe_counts, sanitize_timestamps,
+)
 from lakestar.sources.landing import CSV_OPTIONS
 
 # Files with quoted newlines are read by one task each, so they must not grow with the data.
@@ -17,28 +19,32 @@ ROWS_PER_FILE = 1_000_000
 BUCKET = "bucket"
 
 
-def land_snapshot(df: DataFrame, folder: str, entity: str, as_of: datetime) -> str:
-    """Write a stamped CSV snapshot of an entity and return its path; a rerun replaces it."""
+def land_snapshot(df: DataFrame, folder: str, entity: str, as_of: datetime) -> tuple[str, int]:
+    """Write a stamped CSV snapshot of an entity; return its path and row count.
+
+    A rerun of the same run replaces the snapshot.
+    """
     path = f"{folder}/{entity}/{entity}_{run_stamp(as_of)}"
+    counted, df = observe_counts(df)
     writer = df.write.mode("overwrite").options(**CSV_OPTIONS)
     writer.option("maxRecordsPerFile", ROWS_PER_FILE).csv(path)
-    return path
+    return path, counted.get["rows"]
 
 
 def stage_clustered(
     df: DataFrame, folder: str, key: str, as_of: datetime, buckets: int = 10
-) -> str:
-    """Write a stamped Parquet snapshot clustered by key into a fixed number of buckets.
+) -> tuple[str, int]:
+    """Write a stamped Parquet snapshot clustered by key; return its path and row count.
 
-    Rows of one key share a bucket folder. The shuffle is a rebalance by bucket: AQE splits a
+    Rows of one key share one of a fixed number of bucket folders. The shuffle is a rebalance by bucket: AQE splits a
     bucket that outgrows the advisory partition size over several tasks and files, so neither a
     large table nor a key with a third of all rows ends in one task.
     """
     path = f"{folder}/repartitioned_{run_stamp(as_of)}"
     bucketed = df.withColumn(BUCKET, F.pmod(F.hash(key), F.lit(buckets)))
-    rebalanced = bucketed.hint("rebalance", buckets, BUCKET)
+    counted, rebalanced = observe_counts(bucketed.hint("rebalance", buckets, BUCKET))
     rebalanced.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-    return path
+    return path, counted.get["rows"]
 
 
 def export_documents(

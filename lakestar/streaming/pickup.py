@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lakestar.contracts import Contract
 from lakestar.operators.projection import enforce_contract
 from lakestar.plans.silver import stage_latest
-from lakestar.sources.landing import CSV_OPTIONS, SOURCE_FILE, with_source_file
+from lakestar.sources.landing import CSV_READ_OPTIONS, SOURCE_FILE, with_source_file
 from lakestar.sources.tables import scd2_merge
 
 
@@ -37,7 +37,7 @@ def stream_landing(
 
     stream = (
         spark.readStream.schema(contract.text_schema())
-        .options(**CSV_OPTIONS)
+        .options(**CSV_READ_OPTIONS)
         .option("multiLine", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
