@@ -1,7 +1,7 @@
 """Inputs that the registered queries derive from the supplied tables.
 
-The supplied tables hold no nulls, changes or nested records, so these are derived by rules on the
-keys. Every rule keeps all rows of its table; the oracle SQL applies the same rules.
+The supplied tables hold no nulls, changes or nested records, so these are derived by rules on their
+columns. All rows of a table are read; the oracle SQL applies the same rules.
 """
 
 from __future__ import annotations
