@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,10 +39,10 @@ def run_extract(
         "albums": flatten_albums(items, extracted, link),
         "songs": flatten_songs(items, extracted, link),
     }
-    for name, df in entities.items():
-        def land(name: str = name, df: DataFrame = df) -> dict[str, int]:
-            return _land_and_stage(spark, df, name, ENTITIES[name], layout, as_of, buckets)
-        metrics.timed(name, land)
+    metrics.run({
+        name: partial(_land_and_stage, spark, df, name, ENTITIES[name], layout, as_of, buckets)
+        for name, df in entities.items()
+    })
     return metrics.frame(spark)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,18 +32,23 @@ def run_gold(
 ) -> DataFrame:
     """Load the star schema from silver; returns metrics (step, metric, value).
 
+    The fact takes its keys from silver as well, so all five loads are independent.
+
     ``measured`` (track_id, popularity) gives the day's popularity. Without it the fact repeats the
     popularity of the first time a track was seen, since silver tracks are insert-only.
     """
     metrics = Metrics()
-    metrics.timed("dim_artists", lambda: load_dimension_scd2(
-        spark, layout, "artists", DIM_ARTISTS, "artist_key", source_system, as_of))
-    metrics.timed("dim_albums", lambda: load_dimension_scd2(
-        spark, layout, "albums", DIM_ALBUMS, "album_key", source_system, as_of))
-    metrics.timed("dim_tracks", lambda: load_dimension_insert_only(
-        spark, layout, "tracks", DIM_TRACKS, "track_key", source_system, as_of))
-    metrics.timed("dim_dates", lambda: load_dim_dates(spark, layout, as_of))
-    metrics.timed("fact_track_plays", lambda: load_fact(spark, layout, as_of, source_system, measured))
+    loading = (source_system, as_of)
+    metrics.run({
+        "dim_artists": partial(
+            load_dimension_scd2, spark, layout, "artists", DIM_ARTISTS, "artist_key", *loading),
+        "dim_albums": partial(
+            load_dimension_scd2, spark, layout, "albums", DIM_ALBUMS, "album_key", *loading),
+        "dim_tracks": partial(
+            load_dimension_insert_only, spark, layout, "tracks", DIM_TRACKS, "track_key", *loading),
+        "dim_dates": partial(load_dim_dates, spark, layout, as_of),
+        "fact_track_plays": partial(load_fact, spark, layout, as_of, source_system, measured),
+    })
     return metrics.frame(spark)
 
 

@@ -36,12 +36,14 @@ def stage_clustered(
 ) -> tuple[str, int]:
     """Write a stamped Parquet snapshot clustered by key; return its path and row count.
 
-    Rows of one key share one of a fixed number of bucket folders. The shuffle is a rebalance by bucket: AQE splits a
+    Rows of one key share one of a fixed number of bucket folders; rows without a key belong to no
+    cluster and are spread by their other values. The shuffle is a rebalance by bucket: AQE splits a
     bucket that outgrows the advisory partition size over several tasks and files, so neither a
     large table nor a key with a third of all rows ends in one task.
     """
     path = f"{folder}/repartitioned_{run_stamp(as_of)}"
-    bucketed = df.withColumn(BUCKET, F.pmod(F.hash(key), F.lit(buckets)))
+    code = F.when(F.col(key).isNull(), F.hash(*df.columns)).otherwise(F.hash(key))
+    bucketed = df.withColumn(BUCKET, F.pmod(code, F.lit(buckets)))
     counted, rebalanced = observe_counts(bucketed.hint("rebalance", buckets, BUCKET))
     rebalanced.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
     return path, counted.get["rows"]
