@@ -23,7 +23,7 @@ def scd2_history(
     tiebreak: Sequence[str] = (),
     *,
     hot_rows: int = HOT_ROWS,
-    chunk: str = "day",
+    chunk: str = "hour",
 ) -> DataFrame:
     """Versions that folding the changes through `scd2_apply` in time order would leave.
 
@@ -31,7 +31,8 @@ def scd2_history(
     its predecessor's tracked values opens no version. Rows without a key or a time have no place in
     a history and belong in quarantine (see `split_null_keys`). Keys with fewer than ``hot_rows`` rows take one shuffle and one sort. Hot keys
     are cut into time chunks (a `date_trunc` unit) that are handled apart and stitched together by
-    one row per chunk, so no task ever holds a whole hot key.
+    one row per chunk, so no task ever holds a whole hot key: a task sees the distinct times of one
+    chunk. Choose a finer unit where a key changes millions of times an hour.
     """
     placed, _ = split_null_keys(changes, [*keys, time])
     prepared = with_hash(placed, tracked)

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from lakestar.contracts import RAW_ALBUMS, RAW_ARTISTS, RAW_TRACKS, Contract
 from lakestar.functions.dates import run_stamp
 from lakestar.operators.joins import count_rows
+from lakestar.operators.quality import observe_counts
 from lakestar.plans.layout import Layout, Metrics
 from lakestar.sources.landing import SOURCE_FILE, read_csv_contract
 from lakestar.sources.pages import (
-    flatten_albums, flatten_artists, flatten_items, flatten_songs, read_pages,
+    CORRUPT, corrupt_pages, flatten_albums, flatten_artists, flatten_items, flatten_songs, read_pages,
 )
 from lakestar.sources.writers import land_snapshot, stage_clustered
 
@@ -27,11 +28,18 @@ def run_extract(
     """Flatten pages, land one CSV snapshot per entity, stage it, and check both by count.
 
     The pages are parsed once: their items are written as Parquet, from which each entity reads
-    only the nested fields it needs. Returns metrics (step, metric, value).
+    only the nested fields it needs. A page that does not parse goes to the quality folder and does
+    not hold up the others. Returns metrics (step, metric, value).
     """
     metrics = Metrics()
     items_path = f"{layout.raw}/items/items_{run_stamp(as_of)}"
-    flatten_items(read_pages(spark, pages_path)).write.mode("overwrite").parquet(items_path)
+    pages = read_pages(spark, pages_path)
+    counted, observed = observe_counts(pages, corrupt=F.count_if(F.col(CORRUPT).isNotNull()))
+    flatten_items(observed).write.mode("overwrite").parquet(items_path)
+    metrics.add("pages", read=counted.get["rows"], rejected=counted.get["corrupt"])
+    if counted.get["corrupt"]:
+        rejected_path = f"{layout.rejected}/pages/pages_{run_stamp(as_of)}"
+        corrupt_pages(pages).write.mode("overwrite").parquet(rejected_path)
     items = spark.read.parquet(items_path)
     extracted = F.lit(as_of.isoformat())
     entities = {

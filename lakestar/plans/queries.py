@@ -810,6 +810,7 @@ UNION ALL SELECT 'albums', metric, value FROM (SELECT count(*) FILTER (l_returnf
   (VALUES ('extracted'), ('landed'), ('staged')) v(metric)
 UNION ALL SELECT 'songs', metric, value FROM (SELECT count(*) AS value FROM ({SONGS})),
   (VALUES ('extracted'), ('landed'), ('staged')) v(metric)
+UNION ALL SELECT 'pages', 'read', count(*) FROM lineitem UNION ALL SELECT 'pages', 'rejected', 0
 """)
 def extract_job(spark: SparkSession, sf: str) -> DataFrame:
     layout = Layout(scratch_dir(spark, "lake"))

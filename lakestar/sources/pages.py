@@ -22,14 +22,25 @@ TRACK = (
     "struct<id: string, name: string, duration_ms: int, popularity: int, "
     f"external_urls: map<string, string>, album: {ALBUM}, artists: array<{ARTIST}>>"
 )
+CORRUPT = "corrupt_record"
 ITEMS = f"array<struct<added_at: string, track: {TRACK}>>"
 PAGES = f"playlist_id string, playlist_position bigint, page_offset bigint, items {ITEMS}"
 POSITION = ("page_offset", "item_position")
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Stored pages, one JSON document per line, in the declared nested schema."""
-    return spark.read.schema(PAGES).json(path)
+    """Stored pages, one JSON document per line, in the declared nested schema.
+
+    A page that does not parse has no items; its text is in ``corrupt_record``.
+    """
+    reader = spark.read.schema(f"{PAGES}, {CORRUPT} string").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.json(path)
+
+
+def corrupt_pages(pages: DataFrame) -> DataFrame:
+    """(playlist_id, corrupt_record, source_file) of the pages that do not parse."""
+    bad = pages.withColumn("source_file", F.col("_metadata.file_path"))
+    return bad.filter(F.col(CORRUPT).isNotNull()).select("playlist_id", CORRUPT, "source_file")
 
 
 def flatten_items(pages: DataFrame) -> DataFrame:

@@ -31,17 +31,26 @@ SUCCESS = "_SUCCESS"
 KEEP = 2
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _glob(spark: SparkSession, pattern: str) -> list:
+    """Paths that match a pattern, through the file system of the path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return [status.getPath() for status in found or []]
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions below a folder, oldest first."""
-    jvm = spark._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/v=*/{SUCCESS}")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    return sorted(int(s.getPath().getParent().getName()[2:]) for s in found or [])
+    return sorted(int(p.getParent().getName()[2:]) for p in _glob(spark, f"{path}/v=*/{SUCCESS}"))
+
+
+def _is_plain(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds committed files or partitions of a plain table.
+
+    Replacing partitions leaves no ``_SUCCESS`` behind, but moves files in only when it commits.
+    """
+    names = (p.getName() for p in _glob(spark, f"{path}/*"))
+    layout = ("current", "history", "delta")
+    return any(n[0] not in "_." and not n.startswith("v=") and n not in layout for n in names)
 
 
 def latest_version(spark: SparkSession, path: str) -> int:
@@ -54,7 +63,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return (
         latest_version(spark, f"{path}/current") > 0
         or latest_version(spark, path) > 0
-        or _exists(spark, f"{path}/{SUCCESS}")
+        or _is_plain(spark, path)
     )
 
 

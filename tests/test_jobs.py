@@ -5,7 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from lakestar.contracts import TABLES
 from lakestar.operators.projection import current_rows
+from lakestar.plans.catalog import declare_lake
 from lakestar.plans.extract import run_extract
 from lakestar.plans.gold import analysis, load_fact, run_export, run_gold
 from lakestar.plans.layout import Layout
@@ -36,7 +38,8 @@ def _page(number, second):
 
 def _write(folder, second):
     folder.mkdir()
-    (folder / "pages.json").write_text("\n".join(json.dumps(_page(i, second)) for i in range(3)))
+    lines = [json.dumps(_page(i, second)) for i in range(3)] + (['{"playlist_id": "torn", "items": ['] if second else [])
+    (folder / "pages.json").write_text("\n".join(lines))
     return str(folder)
 
 
@@ -63,6 +66,8 @@ def test_counts_of_the_runs(lake):
     _, ((extract1, silver1, gold1), (extract2, silver2, gold2)) = lake
     assert extract1["artists.extracted"] == extract1["artists.staged"] == 4
     assert extract1["songs.landed"] == 6 and extract2["songs.landed"] == 9
+    assert (extract1["pages.read"], extract1["pages.rejected"]) == (3, 0)
+    assert (extract2["pages.read"], extract2["pages.rejected"]) == (4, 1)
     assert silver1 == {"artists.inserted": 4, "artists.expired": 0, "artists.rejected": 0, "albums.inserted": 1,
                        "albums.expired": 0, "albums.rejected": 0, "tracks.inserted": 3, "tracks.rejected": 3}
     assert (silver2["artists.inserted"], silver2["artists.expired"]) == (2, 1)
@@ -101,6 +106,23 @@ def test_fact_rows_and_the_days_popularity(spark, lake):
     assert day.filter("album_key is null").count() == 1
 
 
+def test_torn_pages_are_kept_aside(spark, lake):
+    torn = spark.read.option("recursiveFileLookup", "true").parquet(f"{lake[0].rejected}/pages").collect()
+    assert [r["corrupt_record"][:22] for r in torn] == ['{"playlist_id": "torn"']
+
+
+def test_tables_have_names_for_sql(spark, lake):
+    names = declare_lake(spark, lake[0])
+    assert names == list(TABLES)
+    found = spark.sql("""
+        SELECT d.artist_name, count(*) AS n FROM fact_track_plays f JOIN dim_artists d USING (artist_key)
+        WHERE d.is_current AND f.date_key = 20260102 GROUP BY 1 ORDER BY 1""")
+    assert [tuple(r) for r in found.collect()] == [('artist "a1"\nrenamed', 3), ('artist "zz"\n', 1)]
+    for name, contract in TABLES.items():
+        declared = [(f.name, f.dataType) for f in contract.schema.fields]
+        assert sorted((f.name, f.dataType) for f in spark.table(name).schema.fields) == sorted(declared, key=str), name
+
+
 def test_quarantine_holds_rows_without_key(spark, lake):
     layout, _ = lake
     rejected = spark.read.option("recursiveFileLookup", "true").parquet(f"{layout.rejected}/tracks")

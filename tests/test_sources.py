@@ -141,6 +141,8 @@ def test_pages_are_flattened(spark, tmp_path):
 
 def test_versions_count_only_when_complete(spark, tmp_path):
     path = str(tmp_path / "t")
+    notes(spark, ("9", "torn")).write.parquet(f"{path}/v=1")
+    os.remove(f"{path}/v=1/_SUCCESS")
     assert not tables.table_exists(spark, path)
     assert tables.table_overwrite(notes(spark, ("1", "a")), path) == 1
     notes(spark, ("9", "torn")).write.parquet(f"{path}/v=2")
@@ -186,7 +188,9 @@ def test_insert_new_adds_nothing_twice(spark, tmp_path):
 def test_partition_replacement_leaves_other_days(spark, tmp_path):
     path = str(tmp_path / "t")
     days = spark.createDataFrame([("a", 1), ("b", 1), ("a", 2)], "k string, day int")
+    assert not tables.table_exists(spark, path)
     tables.replace_partition(days, path, "day")
+    assert tables.table_exists(spark, path)
     assert tables.replace_partition(spark.createDataFrame([("c", 2)], "k string, day int"), path, "day") == 1
     assert content(tables.table_read(spark, path)) == [("a", 1), ("b", 1), ("c", 2)]
 
