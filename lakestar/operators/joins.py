@@ -51,10 +51,10 @@ def lookup_join(
     shuffled by key, where no key is hot any more. AQE drops the hot branch when no key is hot.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if count_rows(lookup) <= broadcast_rows:
-        return rows.join(F.broadcast(lookup), on, "left")
     added = [f for f in lookup.schema.fields if f.name not in on]
     columns = [*rows.columns, *(f.name for f in added)]
+    if count_rows(lookup) <= broadcast_rows:
+        return rows.join(F.broadcast(lookup), on, "left").select(*columns)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
     hot = F.broadcast(hot_keys(rows, on, hot_rows))
     hot_lookup = F.broadcast(lookup.join(hot, on, "left_semi"))

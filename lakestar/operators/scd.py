@@ -111,4 +111,4 @@ def scd2_apply(
 
 def insert_new_only(existing: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Staged rows whose key does not exist yet; existing rows are never changed."""
-    return staged.join(existing.select(*keys), list(keys), "left_anti")
+    return staged.join(existing.select(*keys), list(keys), "left_anti").select(*staged.columns)

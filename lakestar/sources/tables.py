@@ -155,7 +155,8 @@ def scd2_merge(
     opened = scd2_initial(delta, as_of).select(
         *(F.col(f.name).cast(f.dataType).alias(f.name) for f in current.schema.fields)
     )
-    kept.unionByName(opened).write.mode("overwrite").parquet(f"{path}/current/v={following}")
+    following_rows = kept.unionByName(opened).select(*current.columns)
+    following_rows.write.mode("overwrite").parquet(f"{path}/current/v={following}")
     drop_old_versions(spark, f"{path}/current", keep)
     drop_old_versions(spark, f"{path}/delta", keep)
     return {"inserted": inserted, "expired": expired}

@@ -91,6 +91,7 @@ def _skewed(spark):
 def test_lookup_paths_agree(spark, hot_rows):
     df, lookup = _skewed(spark)
     expected = rows(df.join(lookup, "k", "left"), "id", "k", "v")
+    assert joins.lookup_join(df, lookup, "k").columns == ["id", "k", "v"]
     assert rows(joins.lookup_join(df, lookup, "k"), "id", "k", "v") == expected
     split = joins.lookup_join(df, lookup, "k", broadcast_rows=0, hot_rows=hot_rows)
     assert rows(split, "id", "k", "v") == expected

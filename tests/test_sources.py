@@ -183,6 +183,8 @@ def test_insert_new_adds_nothing_twice(spark, tmp_path):
     assert tables.table_insert_new(both, path, ["id"]) == 1
     assert tables.table_insert_new(both, path, ["id"]) == 0
     assert content(tables.table_read(spark, path)) == [("1", "a"), ("2", "b")]
+    noted = notes(spark, ("x", "c")).select("note", "id")
+    assert tables.insert_new_only(tables.table_read(spark, path), noted, ["id"]).columns == ["note", "id"]
 
 
 def test_partition_replacement_leaves_other_days(spark, tmp_path):
