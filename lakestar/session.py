@@ -8,25 +8,42 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# AQE coalesces small shuffle partitions, splits skewed ones and turns a sort-merge join into a
-# broadcast join once the measured size allows it, so the partition count is only an upper bound.
+# AQE merges small shuffle partitions, splits skewed ones and turns a sort-merge join into a broadcast
+# join once the measured size allows it.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.parquet.filterPushdown": "true",
 }
+PARTITION_BYTES = 128 * 1024 * 1024
 
 
-def build_session(app: str = "lakestar", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the jobs expect; ``conf`` keys use ``__`` for dots."""
+def shuffle_partitions(shuffled_bytes: int, least: int = 200) -> int:
+    """Partitions that keep each at about 128 MB; AQE merges them where less is shuffled.
+
+    AQE splits skewed partitions only, so the count has to fit the largest shuffle beforehand.
+    """
+    return max(least, -(-shuffled_bytes // PARTITION_BYTES))
+
+
+def build_session(
+    app: str = "lakestar", master: str | None = None, shuffled_bytes: int = 0, **conf: str
+) -> SparkSession:
+    """A session with the settings the jobs expect; ``conf`` keys use ``__`` for dots.
+
+    ``shuffled_bytes`` is the size of the largest table that a job shuffles.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if shuffled_bytes:
+        builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions(shuffled_bytes))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

@@ -8,6 +8,7 @@ from lakestar.functions.dates import (
     calendar_bounds, date_key, date_precision, parse_partial_date, run_stamp, stamp_in_path,
 )
 from lakestar.functions.hashing import row_hash, surrogate_key, version_key
+from lakestar.session import shuffle_partitions
 
 
 def _hashes(spark, rows, schema="a string, b string"):
@@ -85,3 +86,8 @@ def test_stamps(spark):
         [("/x/repartitioned_20260102_030405/p",), ("/x/repartitioned_20269902_030405/p",), ("/x/other",)], "p string")
     stamps = [r["s"] for r in df.select(stamp_in_path("p").cast("timestamp_ntz").alias("s")).collect()]
     assert stamps == [datetime(2026, 1, 2, 3, 4, 5), None, None]
+
+
+def test_partitions_follow_the_shuffled_size():
+    assert shuffle_partitions(0) == 200
+    assert shuffle_partitions(100 * 10**12) == 745_059
