@@ -38,12 +38,12 @@ T2 = "2026-01-02 00:00:00"
 DAY1, DAY2, DAY3 = datetime(2026, 1, 1), datetime(2026, 1, 2), datetime(2026, 1, 3)
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function's name, with its oracle if SQL can express it."""
+def query(sql: str) -> Callable[[Query], Query]:
+    """Register a query with its oracle, under its function's name without the leading underscore."""
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        if sql:
-            ORACLES[function.__name__] = sql
+        name = function.__name__.lstrip("_")
+        QUERIES[name] = function
+        ORACLES[name] = sql
         return function
     return register
 
@@ -232,7 +232,7 @@ SELECT o_orderkey,
   CASE left(o_orderpriority, 1) WHEN '1' THEN 'year' WHEN '2' THEN 'month' WHEN '3' THEN 'day' END AS precision
 FROM orders
 """)
-def parse_partial_dates(spark: SparkSession, sf: str) -> DataFrame:
+def _parse_partial_date(spark: SparkSession, sf: str) -> DataFrame:
     kind, day = F.substring("o_orderpriority", 1, 1), F.date_format("o_orderdate", "yyyy-MM-dd")
     text = (
         F.when(kind == "1", F.substring(day, 1, 4)).when(kind == "2", F.substring(day, 1, 7))
@@ -255,7 +255,7 @@ SELECT c_custkey, sha256(
   CASE WHEN {SEGMENT} IS NULL THEN '~' ELSE length({SEGMENT}) || ':' || {SEGMENT} END) AS hash_key
 FROM customer
 """)
-def hash_rows(spark: SparkSession, sf: str) -> DataFrame:
+def _row_hash(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select(
         "c_custkey", row_hash("c_custkey", "c_name", F.expr(SEGMENT)).alias("hash_key"))
 
@@ -266,7 +266,7 @@ SELECT l_orderkey, l_linenumber, sha256(CAST(l_partkey AS VARCHAR) || 'src') AS
   sha256(sha256(CAST(l_partkey AS VARCHAR) || 'src') || chr(31) || strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f')) AS part_version_key
 FROM lineitem
 """)
-def surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
+def _surrogate_key(spark: SparkSession, sf: str) -> DataFrame:
     part_key = surrogate_key("l_partkey", source="src")
     return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", part_key.alias("part_key"),
@@ -602,7 +602,7 @@ def read_csv_contract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("SELECT doc_id, text, lang, source FROM documents")
-def read_json_contract(spark: SparkSession, sf: str) -> DataFrame:
+def read_landing(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "json")
     _documents(spark, sf).write.json(path)
     return landing.read_landing(spark, path, DOCUMENT, "json").drop("source_file")
@@ -640,6 +640,17 @@ def landing_union(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*PART.columns, suffix)
 
 
+@query("SELECT o_orderkey, o_custkey, o_orderstatus AS folder FROM orders")
+def with_source_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders landed in one folder per status; each row knows the folder it came from."""
+    folder = scratch_dir(spark, "provenance")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    orders.write.partitionBy("o_orderstatus").parquet(folder)
+    read = spark.read.option("recursiveFileLookup", "true").parquet(folder)
+    status = F.regexp_extract("source_file", r"o_orderstatus=([^/]+)/", 1).alias("folder")
+    return landing.with_source_file(read).select("o_orderkey", "o_custkey", status)
+
+
 @query("SELECT p_partkey, p_name, p_brand, p_size FROM part")
 def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """An older snapshot with other brands is passed over."""
@@ -676,6 +687,34 @@ def table_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return tables.table_read(spark, path)
 
 
+@query("""
+SELECT 'versioned' AS layout, FALSE AS existed, TRUE AS found, s_suppkey FROM supplier
+UNION ALL SELECT 'plain', FALSE, TRUE, s_suppkey FROM supplier
+UNION ALL SELECT 'partitioned', FALSE, TRUE, s_suppkey FROM supplier
+UNION ALL SELECT 'type 2', FALSE, TRUE, s_suppkey FROM supplier
+""")
+def table_read(spark: SparkSession, sf: str) -> DataFrame:
+    """One table in each stored layout: looked for, created, found and read."""
+    suppliers = _hashed(table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), "s_nationkey")
+    folder = scratch_dir(spark, "layouts")
+    writes = {
+        "versioned": lambda path: tables.table_overwrite(suppliers, path),
+        "plain": lambda path: tables.table_append(suppliers, path),
+        "partitioned": lambda path: tables.replace_partition(suppliers, path, "s_nationkey"),
+        "type 2": lambda path: tables.scd2_merge(suppliers, path, ["s_suppkey"], DAY1),
+    }
+    found = []
+    for layout, write in writes.items():
+        path = f"{folder}/{layout.replace(' ', '-')}"
+        existed = tables.table_exists(spark, path)
+        write(path)
+        stored = tables.table_read(spark, path)
+        found.append(stored.select(
+            F.lit(layout).alias("layout"), F.lit(existed).alias("existed"),
+            F.lit(tables.table_exists(spark, path)).alias("found"), "s_suppkey"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("SELECT event_id, user_id, event_type FROM events")
 def table_append(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "append")
@@ -707,7 +746,7 @@ def export_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("SELECT c_custkey, c_name FROM customer")
-def declare_tables(spark: SparkSession, sf: str) -> DataFrame:
+def contracts(spark: SparkSession, sf: str) -> DataFrame:
     """An external table declared twice over one folder, read through the catalog."""
     path = scratch_dir(spark, "declared")
     contract = Contract("customer", "c_custkey bigint, c_name string", keys=("c_custkey",))
@@ -812,7 +851,7 @@ UNION ALL SELECT 'songs', metric, value FROM (SELECT count(*) AS value FROM ({SO
   (VALUES ('extracted'), ('landed'), ('staged')) v(metric)
 UNION ALL SELECT 'pages', 'read', count(*) FROM lineitem UNION ALL SELECT 'pages', 'rejected', 0
 """)
-def extract_job(spark: SparkSession, sf: str) -> DataFrame:
+def _run_extract(spark: SparkSession, sf: str) -> DataFrame:
     layout = Layout(scratch_dir(spark, "lake"))
     pages(spark, sf).write.json(f"{layout.root}/pages", compression="gzip")
     return run_extract(spark, f"{layout.root}/pages", layout, DAY1, LINK).filter("metric <> 'millis'")
@@ -832,7 +871,7 @@ SELECT artist_id, artist_name, external_url, is_current, DATE '2025-12-31' + day
        CASE WHEN NOT is_current THEN DATE '2026-01-02' END AS valid_to_day
 FROM {ARTIST_VERSIONS}
 """)
-def silver_job(spark: SparkSession, sf: str) -> DataFrame:
+def _run_silver(spark: SparkSession, sf: str) -> DataFrame:
     """Silver artists after two extracts and a repeated run."""
     layout = _lake(spark, sf, 2)
     run_silver(spark, layout, DAY3)
@@ -851,7 +890,7 @@ FROM {TRACKS} t LEFT JOIN ({ARTISTS}) a ON a.artist_id = t.artist_id
 LEFT JOIN {ALBUMS} b ON CAST(b.l_orderkey AS VARCHAR) = t.album_id,
 (VALUES (20260102), (20260103)) d(date_key)
 """)
-def gold_job(spark: SparkSession, sf: str) -> DataFrame:
+def _run_gold(spark: SparkSession, sf: str) -> DataFrame:
     """The fact after two days, the second of them loaded twice."""
     layout = _lake(spark, sf, 2)
     for as_of in (DAY2, DAY3, DAY3):
@@ -873,7 +912,7 @@ SELECT 'artists_by_rows' AS query, name, value FROM q1 UNION ALL SELECT 'artists
 UNION ALL SELECT 'popularity_by_year', name, value FROM q3
 UNION ALL SELECT 'albums_by_popularity', 'album' || chr(10) || album_id, value FROM q4 WHERE album_id IS NOT NULL
 """)
-def analysis_job(spark: SparkSession, sf: str) -> DataFrame:
+def _analysis(spark: SparkSession, sf: str) -> DataFrame:
     """The four ranked queries over a star schema loaded from two extracts."""
     layout = _lake(spark, sf, 2)
     run_gold(spark, layout, DAY2, "src")
@@ -895,7 +934,7 @@ def analysis_job(spark: SparkSession, sf: str) -> DataFrame:
 SELECT 'artists' AS collection, count(*) AS documents FROM ({ARTISTS}) UNION ALL SELECT 'albums', count(*) FROM {ALBUMS}
 UNION ALL SELECT 'tracks', count(*) FROM {TRACKS} UNION ALL SELECT 'track_plays', count(*) FROM {TRACKS}
 """)
-def export_job(spark: SparkSession, sf: str) -> DataFrame:
+def _run_export(spark: SparkSession, sf: str) -> DataFrame:
     layout = _lake(spark, sf, 1)
     run_silver(spark, layout, DAY1)
     run_gold(spark, layout, DAY1, "src")
@@ -904,7 +943,7 @@ def export_job(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"{SCD2_BALANCES} SELECT * FROM result")
-def stream_pickup(spark: SparkSession, sf: str) -> DataFrame:
+def _stream_landing(spark: SparkSession, sf: str) -> DataFrame:
     """Two landed files picked up one after the other by a restarted stream."""
     folder = scratch_dir(spark, "stream")
     contract = Contract(
@@ -928,7 +967,7 @@ SELECT l_suppkey, max(l_shipdate) AS extraction_date, count(*) AS seen,
        (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') AS rejected FROM lineitem
 WHERE l_returnflag <> 'R' GROUP BY 1
 """)
-def quarantine_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """A third of the rows lacks its key: they are set apart and counted, the rest is staged."""
     lines = table(spark, sf, "lineitem").select(
         F.when(F.col("l_returnflag") != "R", F.col("l_suppkey")).alias("l_suppkey"),
