@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 ROW = "__row"
 
@@ -24,13 +24,19 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 def total_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> list[Column]:
     """The order extended by all remaining columns, so that equal rows are the only ties."""
-    rest = [
-        f.name for f in df.schema.fields
-        if f.name not in keys and not isinstance(f.dataType, (MapType, VariantType))
-    ]
+    rest = [f.name for f in df.schema.fields if f.name not in keys and _orderable(f.dataType)]
     return [*order, *(F.col(c).desc_nulls_last() for c in rest)]
 
 
+def _orderable(data_type: DataType) -> bool:
+    """Whether Spark can sort by the type: maps and variants have no order, on any level."""
+    if isinstance(data_type, StructType):
+        return all(_orderable(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, ArrayType):
+        return _orderable(data_type.elementType)
+    return not isinstance(data_type, (MapType, VariantType))
+
+
 def dedup_latest(
     df: DataFrame, keys: Sequence[str], latest: Sequence[str], tiebreak: Sequence[Column] | None = None
 ) -> DataFrame:

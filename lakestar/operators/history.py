@@ -13,6 +13,8 @@ from lakestar.operators.projection import split_null_keys
 from lakestar.operators.scd import HASH, with_hash
 
 CHUNK = "__chunk"
+# Time units of chunks, from the first cut of a hot key to the finest.
+UNITS = ("day", "hour", "minute", "second")
 
 
 def scd2_history(
@@ -23,25 +25,44 @@ def scd2_history(
     tiebreak: Sequence[str] = (),
     *,
     hot_rows: int = HOT_ROWS,
-    chunk: str = "hour",
+    units: Sequence[str] = UNITS,
 ) -> DataFrame:
     """Versions that folding the changes through `scd2_apply` in time order would leave.
 
     The last row of a key at one time counts, by ascending ``tiebreak`` columns; a row that repeats
     its predecessor's tracked values opens no version. Rows without a key or a time have no place in
-    a history and belong in quarantine (see `split_null_keys`). Keys with fewer than ``hot_rows`` rows take one shuffle and one sort. Hot keys
-    are cut into time chunks (a `date_trunc` unit) that are handled apart and stitched together by
-    one row per chunk, so no task ever holds a whole hot key: a task sees the distinct times of one
-    chunk. Choose a finer unit where a key changes millions of times an hour.
+    a history and belong in quarantine (see `split_null_keys`).
+
+    Keys with fewer than ``hot_rows`` rows take one shuffle and one sort. Whether there are others
+    is counted first. Those are cut into time chunks, which are made finer wherever a chunk is still
+    too large, handled apart and stitched together by one row per chunk: no task holds a hot key.
     """
     placed, _ = split_null_keys(changes, [*keys, time])
     prepared = with_hash(placed, tracked)
-    hot = F.broadcast(hot_keys(prepared, keys, hot_rows))
-    on = list(keys)
+    hot = hot_keys(prepared, keys, hot_rows)
+    if hot.isEmpty():
+        return _history(prepared, keys, time, tiebreak)
+    hot, on = F.broadcast(hot), list(keys)
     cold_part = _history(prepared.join(hot, on, "left_anti"), keys, time, tiebreak)
-    hot_rows_part = prepared.join(hot, on, "inner").select(*prepared.columns)
-    hot_part = _chunked_history(hot_rows_part, keys, time, tiebreak, chunk)
-    return cold_part.unionByName(hot_part)
+    hot_part = prepared.join(hot, on, "left_semi").select(*prepared.columns)
+    hot_part = _with_chunk(hot_part, keys, time, hot_rows, units)
+    return cold_part.unionByName(_chunked_history(hot_part, keys, time, tiebreak))
+
+
+def _with_chunk(
+    rows: DataFrame, keys: Sequence[str], time: str, hot_rows: int, units: Sequence[str]
+) -> DataFrame:
+    """Add the start of each row's chunk: the coarsest unit in which the key is not hot any more.
+
+    A chunk is refined as a whole, so the starts order the chunks of a key in time.
+    """
+    rows = rows.withColumn(CHUNK, F.date_trunc(units[0], time))
+    for unit in units[1:]:
+        parts = [*keys, CHUNK]
+        large = F.broadcast(hot_keys(rows, parts, hot_rows).withColumn("__large", F.lit(True)))
+        finer = F.when(F.col("__large"), F.date_trunc(unit, time)).otherwise(F.col(CHUNK))
+        rows = rows.join(large, parts, "left").withColumn(CHUNK, finer).drop("__large")
+    return rows
 
 
 def _history(rows: DataFrame, keys: Sequence[str], time: str, tiebreak: Sequence[str]) -> DataFrame:
@@ -57,13 +78,13 @@ def _history(rows: DataFrame, keys: Sequence[str], time: str, tiebreak: Sequence
 
 
 def _chunked_history(
-    rows: DataFrame, keys: Sequence[str], time: str, tiebreak: Sequence[str], chunk: str
+    rows: DataFrame, keys: Sequence[str], time: str, tiebreak: Sequence[str]
 ) -> DataFrame:
-    columns = rows.columns
+    """History of rows that carry a chunk: windows inside chunks, then one row per chunk across."""
+    columns = [c for c in rows.columns if c != CHUNK]
     parts = [*keys, CHUNK]
     last = [F.col(c).desc_nulls_last() for c in tiebreak]
     rows = one_per_key(rows, [*keys, time], last or [F.col(HASH)])
-    rows = rows.withColumn(CHUNK, F.date_trunc(chunk, F.col(time)))
     inside = Window.partitionBy(*parts).orderBy(time)
     across = Window.partitionBy(*keys).orderBy(CHUNK)
 

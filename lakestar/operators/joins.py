@@ -48,7 +48,7 @@ def lookup_join(
     A look-up whose counted size is within ``broadcast_rows`` is broadcast and nothing is shuffled.
     Beyond that the rows are split three ways: rows of hot keys join the broadcast look-up rows of
     just those keys, rows with a null key match nothing and need no join, and all others are
-    shuffled by key, where no key is hot any more. AQE drops the hot branch when no key is hot.
+    shuffled by key, where no key is hot any more.
     """
     on = [on] if isinstance(on, str) else list(on)
     added = [f for f in lookup.schema.fields if f.name not in on]
@@ -56,12 +56,15 @@ def lookup_join(
     if count_rows(lookup) <= broadcast_rows:
         return rows.join(F.broadcast(lookup), on, "left").select(*columns)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
-    hot = F.broadcast(hot_keys(rows, on, hot_rows))
-    hot_lookup = F.broadcast(lookup.join(hot, on, "left_semi"))
-    cold_part = rows.filter(complete).join(hot, on, "left_anti").join(lookup, on, "left")
-    hot_part = rows.join(hot, on, "left_semi").join(hot_lookup, on, "left")
-    null_part = rows.filter(~complete).withColumns(
+    keyed = rows.filter(complete)
+    parts = [rows.filter(~complete).withColumns(
         {f.name: F.lit(None).cast(f.dataType) for f in added}
-    )
-    parts = [part.select(*columns) for part in (cold_part, hot_part, null_part)]
-    return reduce(DataFrame.unionByName, parts)
+    )]
+    hot = hot_keys(rows, on, hot_rows)
+    if not hot.isEmpty():
+        hot = F.broadcast(hot)
+        hot_lookup = F.broadcast(lookup.join(hot, on, "left_semi"))
+        parts.append(keyed.join(hot, on, "left_semi").join(hot_lookup, on, "left"))
+        keyed = keyed.join(hot, on, "left_anti")
+    parts.append(keyed.join(lookup, on, "left"))
+    return reduce(DataFrame.unionByName, [part.select(*columns) for part in parts])

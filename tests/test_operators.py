@@ -66,6 +66,12 @@ def test_last_batch_keeps_the_first_row_of_the_last_batch(spark):
     assert rows(dedup.dedup_last_batch(df, ["k"], ["b"], ["p"]), "k", "v") == [("a", "y"), ("b", "w")]
 
 
+def test_columns_without_order_break_no_ties(spark):
+    df = spark.range(2).select(F.lit(1).alias("k"), F.lit(1).alias("t"), F.create_map(F.lit("a"), F.col("id")).alias("m"),
+                               F.array(F.struct(F.create_map(F.lit("a"), F.col("id")).alias("x"))).alias("n"))
+    assert dedup.dedup_latest(df, ["k"], ["t"]).count() == 1
+
+
 def test_dedup_prunes_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
     plan = dedup.dedup_latest(df, ["k"], ["t"])._jdf.queryExecution().executedPlan().toString()

@@ -98,14 +98,14 @@ change = st.tuples(
 
 
 @SLOW
-@given(st.lists(change, min_size=1, max_size=60), st.sampled_from(["hour", "day", "month"]))
-def test_hot_and_plain_history_agree(spark, log, chunk):
+@given(st.lists(change, min_size=1, max_size=60), st.sampled_from([("hour",), ("month", "day"), ("month", "day", "hour", "minute")]))
+def test_hot_and_plain_history_agree(spark, log, units):
     rows = [(k, v, T0 + timedelta(hours=h), n) for k, v, h, n in log]
     df = spark.createDataFrame(rows, "id string, name string, seen timestamp, n int")
     df = df.groupBy("id", "seen", "n").agg(F.max("name").alias("name"))
     plain = scd2_history(df, ["id"], ["name"], "seen", ["n"])
-    hot = scd2_history(df, ["id"], ["name"], "seen", ["n"], hot_rows=5, chunk=chunk)
-    all_hot = scd2_history(df, ["id"], ["name"], "seen", ["n"], hot_rows=1, chunk=chunk)
+    hot = scd2_history(df, ["id"], ["name"], "seen", ["n"], hot_rows=5, units=units)
+    all_hot = scd2_history(df, ["id"], ["name"], "seen", ["n"], hot_rows=1, units=units)
     assert versions(plain) == versions(hot) == versions(all_hot)
 
 
@@ -113,7 +113,7 @@ def test_history_of_long_runs_across_chunks(spark):
     """A value that stays over several chunks opens one version."""
     rows = [("a", "x", datetime(2026, 1, d)) for d in range(1, 10)] + [("a", "y", datetime(2026, 1, 20))]
     df = spark.createDataFrame(rows, STAGE)
-    out = scd2_history(df, ["id"], ["name"], "seen", hot_rows=1, chunk="day")
+    out = scd2_history(df, ["id"], ["name"], "seen", hot_rows=1, units=("day",))
     assert versions(out) == [
         ("a", "x", False, datetime(2026, 1, 1), datetime(2026, 1, 20)),
         ("a", "y", True, datetime(2026, 1, 20), None)]
