@@ -34,7 +34,8 @@ def run_gold(
 
     The fact takes its keys from silver as well, so all five loads are independent.
 
-    ``measured`` (track_id, popularity) gives the day's popularity. Without it the fact repeats the
+    ``measured`` (track_id, popularity) gives the day's popularity, for example the newest staged
+    snapshot; the highest counts if a track occurs repeatedly. Without it the fact repeats the
     popularity of the first time a track was seen, since silver tracks are insert-only.
     """
     metrics = Metrics()
@@ -91,7 +92,7 @@ def load_fact(
     """Replace the day's slice of the fact by one row per silver track."""
     tracks = table_read(spark, f"{layout.silver}/tracks")
     if measured is not None:
-        latest = measured.select("track_id", F.col("popularity").alias("measured"))
+        latest = measured.groupBy("track_id").agg(F.max("popularity").alias("measured"))
         tracks = tracks.join(latest, "track_id", "left").withColumn(
             "popularity", F.coalesce("measured", "popularity"))
     tracks = tracks.withColumn("track_key", surrogate_key("track_id", source=source_system))

@@ -11,7 +11,7 @@ from lakestar.plans.catalog import declare_lake
 from lakestar.plans.extract import run_extract
 from lakestar.plans.gold import analysis, load_fact, run_export, run_gold
 from lakestar.plans.layout import Layout
-from lakestar.plans.silver import run_silver
+from lakestar.plans.silver import latest_tracks, run_silver
 from lakestar.sources.tables import table_read
 from tests.conftest import T0, T1, T2
 
@@ -99,11 +99,13 @@ def test_fact_rows_and_the_days_popularity(spark, lake):
     path = f"{layout.gold}/fact_track_plays"
     fact = table_read(spark, path)
     assert {r["date_key"]: r["count"] for r in fact.groupBy("date_key").count().collect()} == {20260101: 3, 20260102: 4}
-    measured = spark.createDataFrame([("t1", 77)], "track_id string, popularity int")
+    measured = spark.createDataFrame([("t1", 77), ("t1", 7)], "track_id string, popularity int")
     load_fact(spark, layout, T2, SOURCE, measured)
     day = table_read(spark, path).filter("date_key = 20260103")
     assert sorted(r["popularity"] for r in day.collect()) == [0, 20, 77, 99]
     assert day.filter("album_key is null").count() == 1
+    load_fact(spark, layout, T2, SOURCE, latest_tracks(spark, layout))
+    assert table_read(spark, path).filter("date_key = 20260103").count() == 4
 
 
 def test_torn_pages_are_kept_aside(spark, lake):
