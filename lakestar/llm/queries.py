@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestar.llm.bpe import bpe_digests
 from lakestar.llm.common import read_table
 from lakestar.llm.decontaminate import benchmark_hits
 from lakestar.llm.exact_dedup import exact_duplicates
+from lakestar.llm.language import identify_languages
+from lakestar.llm.quality import score_quality
+from lakestar.llm.secret_scan import scan_secrets
+from lakestar.llm.token_store import read_tokens, write_tokens
 from lakestar.llm.url_rules import GLOBS, RULES, judge_urls
+from lakestar.llm.wordpiece import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +40,38 @@ def in_first_snapshot(column: str = "doc_id"):
     return F.col(column) % 2 == 0
 
 
+def id_remainder(modulus: int, column: str = "doc_id") -> Column:
+    """CRC-32 of the id as text, modulo; null ids have none."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
+
+
+def held_out_for_quality() -> Column:
+    """Rows that the quality classifier does not learn from; rows without an id are among them."""
+    return F.coalesce(id_remainder(3) == 1, F.lit(True))
+
+
+@register("op1_token_output")
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return read_tokens(*write_tokens(documents, public_tokenizers.path("word_bpe_49k.json")))
+
+
+@register("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    scored = score_quality(documents, read_table(spark, sf_dir, "labels", "doc_id", "quality"), held_out_for_quality())
+    return scored.select(
+        "doc_id", F.col("__held_out").alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op3_secret_scans")
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    # A source owns its documents; its repositories are its languages.
+    return scan_secrets(documents, F.col("source"), F.col("lang"))
+
+
 @register("op4_exact_dedup", """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesce(text, '') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -43,6 +82,25 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents, in_first_snapshot())
 
 
+@register("op5_bpe_encoding")
+def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe_digests(documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_counts(documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = F.coalesce(id_remainder(4) == 2, F.lit(True))
+    return identify_languages(documents, held_out)
+
+
 @register("op9_benchmark_decontamination", r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
