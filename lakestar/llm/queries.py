@@ -12,6 +12,7 @@ from lakestar.llm.bpe import bpe_digests
 from lakestar.llm.common import read_table
 from lakestar.llm.decontaminate import benchmark_hits
 from lakestar.llm.exact_dedup import exact_duplicates
+from lakestar.llm.jaccard_join import near_duplicates
 from lakestar.llm.language import identify_languages
 from lakestar.llm.quality import score_quality
 from lakestar.llm.secret_scan import scan_secrets
@@ -101,6 +102,31 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(documents, held_out)
 
 
+@register("op8_ngram_jaccard_join", r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+counted AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id),
+links AS (
+  SELECT a, b FROM counted JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+  WHERE 100 * c >= 90 * (s.n + t.n - c)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+""")
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return near_duplicates(documents, n=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 @register("op9_benchmark_decontamination", r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -9,7 +9,9 @@ import numpy as np
 from tokenizers import Tokenizer, normalizers
 
 # Words whose ids a task keeps (about 200 bytes each); when they are more, it starts anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 800_000
+# Words of one call to the library, whose results are large.
+CALL_WORDS = 20_000
 # Characters of texts whose new words are encoded in one call.
 GROUP_CHARS = 4_000_000
 
@@ -51,8 +53,9 @@ class WordEncoder:
         other = [p for p in parts if not p.isascii() or special in p]
         for tokenizer, some, given in (
                 (self.plain, plain, [p.lower() for p in plain]), (self.whole, other, other)):
-            encoded = tokenizer.encode_batch_fast(given, add_special_tokens=False)
-            self.known.update(zip(some, (np.array(e.ids, dtype="<u2").tobytes() for e in encoded)))
+            for at in range(0, len(some), CALL_WORDS):
+                encoded = tokenizer.encode_batch_fast(given[at : at + CALL_WORDS], add_special_tokens=False)
+                self.known.update(zip(some[at:], (np.array(e.ids, dtype="<u2").tobytes() for e in encoded)))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text in turn; none for null."""
