@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from lakestar.llm.tokenizer_words import groups_of_text
 
 # Chunks of text whose ids a task keeps (about 200 bytes each); when they are more, it starts anew.
-KEPT_CHUNKS = 800_000
+KEPT_CHUNKS = 500_000
 # Words are encoded together by the size of their trees, in blocks of about so many leaves.
 BLOCK_LEAVES = 1 << 18
 NONE = np.int64(1 << 62)

@@ -24,7 +24,8 @@ DIMENSION = 64
 NONZERO = 4  # entries of +1 or -1 in an index vector
 WINDOW = 2  # neighbours on each side that make up a word's context
 HIDDEN = 32
-KEPT_TOKENS = 1_000_000
+GROUP_CHARS = 500_000  # characters of texts that are pooled at a time
+KEPT_TOKENS = 250_000  # about 300 bytes each
 PARTS = re.compile(r"(\W*)(.*?)(\W*)", re.DOTALL)
 
 
@@ -117,7 +118,7 @@ def pooled(texts: list[str | None], vectors: WordVectors, tokens: Tokens) -> np.
     A token that repeats the one before it adds the vector of a word of its own.
     """
     rows = [np.zeros((0, 2 * DIMENSION + 3), dtype=np.float32)]
-    for group in groups_of_text(texts, 2_000_000, 1_000):
+    for group in groups_of_text(texts, GROUP_CHARS, 1_000):
         numbers, sizes = tokens.read(group)
         words, forms, place = tokens.hashes(numbers)
         table = np.concatenate([vectors.of(words), index_vectors(forms)], axis=1)
@@ -226,7 +227,7 @@ def _word_vectors(sample: DataFrame) -> WordVectors:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
         for batch in batches:
-            for group in groups_of_text(batch["text"].to_pylist()):
+            for group in groups_of_text(batch["text"].to_pylist(), GROUP_CHARS):
                 words, _, place = tokens.hashes(tokens.read(group)[0])
                 distinct, at = np.unique(words, return_inverse=True)
                 n = np.bincount(at[place], minlength=len(distinct))
@@ -240,7 +241,7 @@ def _word_vectors(sample: DataFrame) -> WordVectors:
     def context(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, sums = Tokens(), np.zeros((len(hashes), DIMENSION), dtype=np.int64)
         for batch in batches:
-            for group in groups_of_text(batch["text"].to_pylist()):
+            for group in groups_of_text(batch["text"].to_pylist(), GROUP_CHARS):
                 numbers, sizes = tokens.read(group)
                 words, _, place = tokens.hashes(numbers)
                 if not len(words):

@@ -9,11 +9,11 @@ import numpy as np
 from tokenizers import Tokenizer, normalizers
 
 # Words whose ids a task keeps (about 200 bytes each); when they are more, it starts anew.
-KEPT_WORDS = 800_000
+KEPT_WORDS = 500_000
 # Words of one call to the library, whose results are large.
 CALL_WORDS = 20_000
 # Characters of texts whose new words are encoded in one call.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 2_000_000
 
 
 def groups_of_text(texts: list[str | None], chars: int = GROUP_CHARS, most: int = 10_000) -> Iterator[list[str]]:

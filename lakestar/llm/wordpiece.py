@@ -16,7 +16,7 @@ from lakestar.llm.tokenizer_words import groups_of_text
 
 WORD = re.compile(r"\w+|[^\w\s]+")
 # Words whose counts a task keeps; when they are more, it starts anew.
-KEPT_WORDS = 1_500_000
+KEPT_WORDS = 500_000
 
 
 class LongestMatch:
