@@ -24,8 +24,12 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 def total_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> list[Column]:
     """The order extended by all remaining columns, so that equal rows are the only ties."""
-    rest = [f.name for f in df.schema.fields if f.name not in keys and _orderable(f.dataType)]
-    return [*order, *(F.col(c).desc_nulls_last() for c in rest)]
+    return [*order, *(F.col(c).desc_nulls_last() for c in orderable_columns(df, keys))]
+
+
+def orderable_columns(df: DataFrame, besides: Sequence[str]) -> list[str]:
+    """The columns that Spark can sort by, without those named."""
+    return [f.name for f in df.schema.fields if f.name not in besides and _orderable(f.dataType)]
 
 
 def _orderable(data_type: DataType) -> bool:

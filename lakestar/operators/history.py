@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestar.operators.dedup import one_per_key
-from lakestar.operators.joins import HOT_ROWS, hot_keys
+from lakestar.operators.dedup import orderable_columns
+from lakestar.operators.joins import HOT_ROWS
 from lakestar.operators.projection import split_null_keys
 from lakestar.operators.scd import HASH, with_hash
 
-CHUNK = "__chunk"
-# Time units of chunks, from the first cut of a hot key to the finest.
-UNITS = ("day", "hour", "minute", "second")
+CHUNK, BOUNDS = "__chunk", "__bounds"
+# Time bounds that are broadcast at most: hot keys times chunks per key.
+BROADCAST_BOUNDS = 500_000
 
 
 def scd2_history(
@@ -25,78 +25,75 @@ def scd2_history(
     tiebreak: Sequence[str] = (),
     *,
     hot_rows: int = HOT_ROWS,
-    units: Sequence[str] = UNITS,
 ) -> DataFrame:
     """Versions that folding the changes through `scd2_apply` in time order would leave.
 
-    The last row of a key at one time counts, by ascending ``tiebreak`` columns; a row that repeats
-    its predecessor's tracked values opens no version. Rows without a key or a time have no place in
-    a history and belong in quarantine (see `split_null_keys`).
+    The last row of a key at one time counts, by ascending ``tiebreak`` columns, then by the hash of the
+    tracked values and all remaining columns, so neither the input's order nor its size changes a
+    result; a row that repeats its predecessor's tracked values opens no version. Rows without a key or a
+    time have no place in a history and belong in quarantine (see `split_null_keys`).
 
     Keys with fewer than ``hot_rows`` rows take one shuffle and one sort. Whether there are others
-    is counted first. Those are cut into time chunks, which are made finer wherever a chunk is still
-    too large, handled apart and stitched together by one row per chunk: no task holds a hot key.
+    is counted first. If so, one aggregate cuts the times of those keys at quantiles into chunks of about
+    ``hot_rows`` rows; windows then work within chunks, and one row per chunk carries the values across
+    their edges. No task holds a hot key, and there is no bound on keys or chunks.
     """
     placed, _ = split_null_keys(changes, [*keys, time])
     prepared = with_hash(placed, tracked)
-    hot = hot_keys(prepared, keys, hot_rows)
-    if hot.isEmpty():
-        return _history(prepared, keys, time, tiebreak)
-    hot, on = F.broadcast(hot), list(keys)
-    cold_part = _history(prepared.join(hot, on, "left_anti"), keys, time, tiebreak)
-    hot_part = prepared.join(hot, on, "left_semi").select(*prepared.columns)
-    hot_part = _with_chunk(hot_part, keys, time, hot_rows, units)
-    return cold_part.unionByName(_chunked_history(hot_part, keys, time, tiebreak))
-
-
-def _with_chunk(
-    rows: DataFrame, keys: Sequence[str], time: str, hot_rows: int, units: Sequence[str]
+    order = [F.col(time).asc(), *(F.col(c).asc() for c in (*tiebreak, HASH))]
+    order += [F.col(c).asc() for c in orderable_columns(prepared, [*keys, time, *tiebreak, HASH])]
+    counts = prepared.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= hot_rows)
+    hot = counts.agg(F.count(F.lit(1)).alias("keys"), F.max("n").alias("most")).first()
+    if not hot["keys"]:
+        rows = _last_of_time(prepared, keys, time, order)
+        rows = rows.filter(~F.col("__prev").eqNullSafe(F.col(HASH)))
+        until = F.lead(time).over(Window.partitionBy(*keys).orderBy(time))
+        return _versions(rows.withColumn("__until", until), prepared.columns, time)
+    chunks = max(2, -(-hot["most"] // hot_rows))
+    cuts = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
+    bounds = prepared.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"), F.percentile_approx(time, cuts, 20 * chunks).alias(BOUNDS))
+    bounds = bounds.filter(F.col("__n") >= hot_rows).select(*keys, F.array_distinct(BOUNDS).alias(BOUNDS))
+    if hot["keys"] * chunks <= BROADCAST_BOUNDS:
+        bounds = F.broadcast(bounds)
+    passed = F.size(F.filter(BOUNDS, lambda bound: bound <= F.col(time)))
+    rows = prepared.join(bounds, list(keys), "left").withColumn(
+        CHUNK, F.when(F.col(BOUNDS).isNull(), 0).otherwise(passed)).drop(BOUNDS)
+    return _stitched(rows, keys, time, order, prepared.columns)
+
+
+def _last_of_time(
+    rows: DataFrame, parts: Sequence[str], time: str, order: Sequence[Column]
 ) -> DataFrame:
-    """Add the start of each row's chunk: the coarsest unit in which the key is not hot any more.
+    """The last row of each part and time, with the hash of the row before it.
 
-    A chunk is refined as a whole, so the starts order the chunks of a key in time.
+    The windows share one exchange and one sort: ordering by time is a prefix of the total order.
     """
-    rows = rows.withColumn(CHUNK, F.date_trunc(units[0], time))
-    for unit in units[1:]:
-        parts = [*keys, CHUNK]
-        large = F.broadcast(hot_keys(rows, parts, hot_rows).withColumn("__large", F.lit(True)))
-        finer = F.when(F.col("__large"), F.date_trunc(unit, time)).otherwise(F.col(CHUNK))
-        rows = rows.join(large, parts, "left").withColumn(CHUNK, finer).drop("__large")
-    return rows
-
-
-def _history(rows: DataFrame, keys: Sequence[str], time: str, tiebreak: Sequence[str]) -> DataFrame:
-    """History by plain windows; all three share one exchange and one sort on (keys, time)."""
-    columns = rows.columns
-    by_order = Window.partitionBy(*keys).orderBy(time, *tiebreak)
-    by_time = Window.partitionBy(*keys).orderBy(time)
-    rows = rows.withColumn("__next", F.lead(time).over(by_order))
+    rows = rows.withColumn("__next", F.lead(time).over(Window.partitionBy(*parts).orderBy(*order)))
     rows = rows.filter(~F.col("__next").eqNullSafe(F.col(time)))
-    rows = rows.withColumn("__prev", F.lag(HASH).over(by_time))
-    rows = rows.filter(~F.col("__prev").eqNullSafe(F.col(HASH)))
-    return _versions(rows.withColumn("__until", F.lead(time).over(by_time)), columns, time)
+    return rows.withColumn("__prev", F.lag(HASH).over(Window.partitionBy(*parts).orderBy(time)))
 
 
-def _chunked_history(
-    rows: DataFrame, keys: Sequence[str], time: str, tiebreak: Sequence[str]
+def _stitched(
+    rows: DataFrame, keys: Sequence[str], time: str, order: Sequence[Column], columns: Sequence[str]
 ) -> DataFrame:
     """History of rows that carry a chunk: windows inside chunks, then one row per chunk across."""
-    columns = [c for c in rows.columns if c != CHUNK]
     parts = [*keys, CHUNK]
-    last = [F.col(c).desc_nulls_last() for c in tiebreak]
-    rows = one_per_key(rows, [*keys, time], last or [F.col(HASH)])
-    inside = Window.partitionBy(*parts).orderBy(time)
+    rows = _last_of_time(rows, parts, time, order)
+    inner = F.when(F.col("__prev").isNotNull() & (F.col("__prev") != F.col(HASH)), F.col(time))
+    edges = rows.groupBy(*parts).agg(
+        F.min(time).alias("__first"), F.min_by(HASH, time).alias("__opening"),
+        F.max_by(HASH, time).alias("__closing"), F.min(inner).alias("__inner"))
     across = Window.partitionBy(*keys).orderBy(CHUNK)
-
-    closing = rows.groupBy(*parts).agg(F.max_by(HASH, time).alias("__last"))
-    closing = closing.select(*parts, F.lag("__last").over(across).alias("__edge"))
-    rows = rows.withColumn("__prev", F.lag(HASH).over(inside)).join(closing, parts, "left")
-    rows = rows.filter(~F.coalesce("__prev", "__edge").eqNullSafe(F.col(HASH))).drop("__prev", "__edge")
-
-    opening = rows.groupBy(*parts).agg(F.min(time).alias("__first"))
-    opening = opening.select(*parts, F.lead("__first").over(across).alias("__edge"))
-    rows = rows.withColumn("__inside", F.lead(time).over(inside)).join(opening, parts, "left")
-    return _versions(rows.withColumn("__until", F.coalesce("__inside", "__edge")), columns, time)
+    edges = edges.withColumn("__edge", F.lag("__closing").over(across))
+    changed = F.when(F.col("__edge").eqNullSafe(F.col("__opening")), F.col("__inner")).otherwise(F.col("__first"))
+    following = across.rowsBetween(1, Window.unboundedFollowing)
+    opens = F.first("__change", ignorenulls=True).over(following)
+    edges = edges.withColumn("__change", changed).withColumn("__opens", opens).select(*parts, "__edge", "__opens")
+    rows = rows.join(edges, parts, "left")
+    rows = rows.filter(~F.coalesce("__prev", "__edge").eqNullSafe(F.col(HASH)))
+    inside = F.lead(time).over(Window.partitionBy(*parts).orderBy(time))
+    return _versions(rows.withColumn("__until", F.coalesce(inside, "__opens")), columns, time)
 
 
 def _versions(rows: DataFrame, columns: Sequence[str], time: str) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 # A key with at least this many rows is hot: it is kept out of the shuffle by key.
 HOT_ROWS = 2_000_000
+# Parts over which the rows of a hot key are spread.
+SALTS = 64
 # Upper bound on the hot keys that are singled out; keys beyond it only lose the special treatment.
 MAX_HOT_KEYS = 20_000
 
@@ -42,29 +44,33 @@ def lookup_join(
     *,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a look-up table with unique keys; every row of ``rows`` appears exactly once.
 
     A look-up whose counted size is within ``broadcast_rows`` is broadcast and nothing is shuffled.
-    Beyond that the rows are split three ways: rows of hot keys join the broadcast look-up rows of
-    just those keys, rows with a null key match nothing and need no join, and all others are
-    shuffled by key, where no key is hot any more.
+    Beyond that there is one shuffled join by key and salt: rows of hot keys, and rows with a null key,
+    which match nothing, are spread over ``SALTS`` salts by a hash of the row, and the look-up rows of the
+    hot keys are repeated once per salt. Hot keys are counted beforehand, in ``counted`` if given (the rows
+    as they were before other look-ups), so the join itself reads ``rows`` once.
     """
     on = [on] if isinstance(on, str) else list(on)
-    added = [f for f in lookup.schema.fields if f.name not in on]
-    columns = [*rows.columns, *(f.name for f in added)]
+    added = [c for c in lookup.columns if c not in on]
+    columns = [*rows.columns, *added]
     if count_rows(lookup) <= broadcast_rows:
         return rows.join(F.broadcast(lookup), on, "left").select(*columns)
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
-    keyed = rows.filter(complete)
-    parts = [rows.filter(~complete).withColumns(
-        {f.name: F.lit(None).cast(f.dataType) for f in added}
-    )]
-    hot = hot_keys(rows, on, hot_rows)
-    if not hot.isEmpty():
-        hot = F.broadcast(hot)
-        hot_lookup = F.broadcast(lookup.join(hot, on, "left_semi"))
-        parts.append(keyed.join(hot, on, "left_semi").join(hot_lookup, on, "left"))
-        keyed = keyed.join(hot, on, "left_anti")
-    parts.append(keyed.join(lookup, on, "left"))
-    return reduce(DataFrame.unionByName, [part.select(*columns) for part in parts])
+    found = hot_keys(rows if counted is None else counted, on, hot_rows)
+    # At most MAX_HOT_KEYS keys: counted once here, not once for each side of the join.
+    hot = rows.sparkSession.createDataFrame(found.collect(), found.schema).withColumn("__hot", F.lit(True))
+    flagged = rows.join(F.broadcast(hot), on, "left")
+    spread = reduce(lambda a, b: a | b, [F.col("__hot").isNotNull(), *(F.col(k).isNull() for k in on)])
+    salt = F.pmod(F.xxhash64(*_hashable(rows)), F.lit(SALTS)).cast("int")
+    flagged = flagged.withColumn("__salt", F.when(spread, salt).otherwise(F.lit(0)))
+    repeated = lookup.join(F.broadcast(hot), on, "left").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), F.when(F.col("__hot"), F.lit(SALTS - 1)).otherwise(F.lit(0)))))
+    return flagged.join(repeated.drop("__hot"), [*on, "__salt"], "left").select(*columns)
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    """The columns of types that Spark can hash."""
+    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]

@@ -15,7 +15,12 @@ from lakestar.functions.dates import parse_partial_date
 
 
 def as_column(value: object) -> Column:
-    """A column as it is, anything else as a literal."""
+    """A column as it is, anything else as a literal.
+
+    A datetime without a zone is one of the session's zone, whatever zone the driver runs in.
+    """
+    if isinstance(value, datetime) and value.tzinfo is None:
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp")
     return value if isinstance(value, Column) else F.lit(value)
 
 

@@ -27,15 +27,20 @@ def run_extract(
 ) -> DataFrame:
     """Flatten pages, land one CSV snapshot per entity, stage it, and check both by count.
 
-    The pages are parsed once: their items are written as Parquet, from which each entity reads
-    only the nested fields it needs. A page that does not parse goes to the quality folder and does
-    not hold up the others. Returns metrics (step, metric, value).
+    The pages are parsed once, in full, and written as Parquet. A page of which any part does not parse
+    goes whole to the quality folder, none of its items are taken, and it does not hold up the others.
+    Items are written from the other pages; each entity reads only the nested fields it needs. Returns
+    metrics (step, metric, value).
     """
     metrics = Metrics()
     items_path = f"{layout.raw}/items/items_{run_stamp(as_of)}"
-    pages = read_pages(spark, pages_path)
-    counted, observed = observe_counts(pages, corrupt=F.count_if(F.col(CORRUPT).isNotNull()))
-    flatten_items(observed).write.mode("overwrite").parquet(items_path)
+    parsed_path = f"{layout.raw}/pages/pages_{run_stamp(as_of)}"
+    read = read_pages(spark, pages_path).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    # Writing every field keeps the reader from skipping those that would not parse.
+    counted, observed = observe_counts(read, corrupt=F.count_if(F.col(CORRUPT).isNotNull()))
+    observed.write.mode("overwrite").parquet(parsed_path)
+    pages = spark.read.parquet(parsed_path)
+    flatten_items(pages.filter(F.col(CORRUPT).isNull())).write.mode("overwrite").parquet(items_path)
     metrics.add("pages", read=counted.get["rows"], rejected=counted.get["corrupt"])
     if counted.get["corrupt"]:
         rejected_path = f"{layout.rejected}/pages/pages_{run_stamp(as_of)}"

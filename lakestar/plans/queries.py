@@ -387,6 +387,15 @@ def scd2_history(spark: SparkSession, sf: str) -> DataFrame:
     return versions.select("o_custkey", "o_orderpriority", "valid_from", "valid_to", "is_current")
 
 
+@query(ORACLES["scd2_history"])
+def scd2_history_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The same history with most keys over the limit that cuts them into chunks of time."""
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey")
+    versions = history.scd2_history(
+        orders, ["o_custkey"], ["o_orderpriority"], "o_orderdate", ["o_orderkey"], hot_rows=4)
+    return versions.select("o_custkey", "o_orderpriority", "valid_from", "valid_to", "is_current")
+
+
 # --- star schema ------------------------------------------------------------------------------
 
 
@@ -431,6 +440,21 @@ def snapshot_fact(spark: SparkSession, sf: str) -> DataFrame:
         ["quantity"], {"date_key": 20260101, "play_count": 1}, keep=["l_orderkey", "l_linenumber"])
 
 
+@query(ORACLES["snapshot_fact"])
+def snapshot_fact_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The same fact by shuffled look-ups with hot keys spread over salts."""
+    parts = table(spark, sf, "part").filter("p_type <> 'PROMO'")
+    lines = table(spark, sf, "lineitem").withColumn("quantity", F.col("l_quantity").cast("int"))
+    return facts.snapshot_fact(
+        lines,
+        [facts.Lookup(parts.withColumn("part_key", surrogate_key("p_partkey", source="src")),
+                      "p_partkey", "part_key", foreign="l_partkey"),
+         facts.Lookup(table(spark, sf, "supplier").withColumn("supplier_key", surrogate_key("s_suppkey", source="src")),
+                      "s_suppkey", "supplier_key", foreign="l_suppkey")],
+        ["quantity"], {"date_key": 20260101, "play_count": 1}, keep=["l_orderkey", "l_linenumber"],
+        broadcast_rows=0, hot_rows=100)
+
+
 @query("""
 SELECT event_id, user_id, CASE WHEN CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) THEN 2 ELSE 1 END
   AS play_count, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key FROM events

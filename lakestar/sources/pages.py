@@ -31,16 +31,16 @@ POSITION = ("page_offset", "item_position")
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Stored pages, one JSON document per line, in the declared nested schema.
 
-    A page that does not parse has no items; its text is in ``corrupt_record``.
+    The whole text of a page of which any part does not parse is in ``corrupt_record``. A reader of only some
+    fields checks only those, so whoever sorts pages out has to read all of them, see `run_extract`.
     """
     reader = spark.read.schema(f"{PAGES}, {CORRUPT} string").option("columnNameOfCorruptRecord", CORRUPT)
     return reader.json(path)
 
 
 def corrupt_pages(pages: DataFrame) -> DataFrame:
-    """(playlist_id, corrupt_record, source_file) of the pages that do not parse."""
-    bad = pages.withColumn("source_file", F.col("_metadata.file_path"))
-    return bad.filter(F.col(CORRUPT).isNotNull()).select("playlist_id", CORRUPT, "source_file")
+    """(playlist_id, corrupt_record, source_file) of the stored pages of which any part did not parse."""
+    return pages.filter(F.col(CORRUPT).isNotNull()).select("playlist_id", CORRUPT, "source_file")
 
 
 def flatten_items(pages: DataFrame) -> DataFrame:

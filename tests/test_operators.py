@@ -219,3 +219,33 @@ def test_observed_counts_need_no_second_job(spark):
     counted, df = quality.observe_counts(spark.range(10), odd=F.count_if(F.col("id") % 2 == 1))
     df.collect()
     assert counted.get == {"rows": 10, "odd": 5}
+
+
+def test_lookup_reads_its_rows_once(spark, sf):
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    parts = spark.read.parquet(f"{sf}/part.parquet")
+    suppliers = spark.read.parquet(f"{sf}/supplier.parquet")
+    fact = facts.snapshot_fact(
+        lines, [facts.Lookup(parts.withColumn("part_key", F.col("p_name")), "p_partkey", "part_key", "l_partkey"),
+                facts.Lookup(suppliers.withColumn("supplier_key", F.col("s_name")), "s_suppkey", "supplier_key", "l_suppkey")],
+        ["l_tax"], {}, broadcast_rows=0, hot_rows=20)
+    text = fact._jdf.queryExecution().executedPlan().toString()
+    assert text.count("l_suppkey:bigint") == 1
+
+
+def test_naive_times_are_of_the_session_zone(spark):
+    import os
+    import time
+    from datetime import datetime
+
+    from lakestar.operators.projection import as_column
+
+    zone = os.environ.get("TZ")
+    try:
+        os.environ["TZ"] = "Europe/Berlin"
+        time.tzset()
+        shown = spark.range(1).select(as_column(datetime(2026, 1, 2, 3, 4, 5, 6)).cast("string").alias("t")).first()["t"]
+    finally:
+        os.environ.pop("TZ") if zone is None else os.environ.update(TZ=zone)
+        time.tzset()
+    assert shown == "2026-01-02 03:04:05.000006"

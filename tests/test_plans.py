@@ -5,10 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from lakestar.operators.facts import Lookup, snapshot_fact
 from lakestar.operators.projection import current_rows
 from lakestar.operators.scd import changed_or_new, insert_new_only, scd2_apply, scd2_initial, with_hash
+from lakestar.plans.queries import QUERIES
 from lakestar.sources.tables import scd2_merge, table_read
 from tests.conftest import T0, T1
 
@@ -27,13 +27,13 @@ def parts(spark, sf):
 
 
 def test_ranking_reads_two_columns_and_aggregates_before_the_shuffle(spark, sf):
-    text = plan(queries()["top_entities_by_avg"](spark, sf))
+    text = plan(QUERIES["top_entities_by_avg"](spark, sf))
     assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in text
     assert "partial_avg" in text and "TakeOrderedAndProject" in text
 
 
 def test_ranked_side_is_broadcast_after_the_limit(spark, sf):
-    text = plan(queries()["top_groups_prelimit"](spark, sf))
+    text = plan(QUERIES["top_groups_prelimit"](spark, sf))
     assert re.search(r"BroadcastExchange.*\n(.*Filter.*\n)?.*TakeOrderedAndProject\(limit=5", text)
 
 
@@ -82,11 +82,11 @@ def test_history_is_pruned_by_version(spark, tmp_path, parts):
 
 NO_PRODUCT = ("CartesianProduct", "BroadcastNestedLoopJoin")
 JOBS = ("run_extract", "run_silver", "run_gold", "run_export", "analysis")
-CHEAP = [n for n in sorted(queries()) if n not in JOBS]
+CHEAP = [n for n in sorted(QUERIES) if n not in JOBS]
 
 
 @pytest.mark.parametrize("name", CHEAP)
 def test_no_query_forms_products_or_leaves_the_jvm(spark, sf, name):
-    text = plan(queries()[name](spark, sf))
+    text = plan(QUERIES[name](spark, sf))
     assert not any(node in text for node in NO_PRODUCT)
     assert not any(node in text for node in ("PythonUDF", "ArrowEval", "BatchEval", "MapInPandas"))
