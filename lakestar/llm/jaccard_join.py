@@ -32,6 +32,8 @@ from lakestar.llm.tokenizer_words import groups_of_text
 PARTS = 8
 # Signatures per bucket, the work of one task.
 BUCKET_SIGNATURES = 1_000_000
+# Characters of texts whose sets are held at a time while they are cut.
+SIGNED_CHARS = 1_000_000
 # Members of a segment that one task compares with each other or with as many others.
 BLOCK_MEMBERS = 2_000
 # Other cuts of the order for sets that leave too many fragments empty.
@@ -174,7 +176,7 @@ def _members(documents: DataFrame, n: int) -> DataFrame:
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, nodes = [], []
-            for group in groups_of_text(batch["text"].to_pylist()):
+            for group in groups_of_text(batch["text"].to_pylist(), SIGNED_CHARS):
                 sets = gram_sets(group, n)
                 sizes += [len(s) for s in sets]
                 nodes += [node_of(s) for s in sets]
@@ -186,7 +188,7 @@ def _members(documents: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(measure, "doc_id long, mark long, n_shingles long, node long")
 
 
-def _packed(name: str, columns: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+def _packed(columns: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     buckets, *arrays = zip(*columns)
     return pa.RecordBatch.from_arrays(
         [pa.array(buckets, pa.int32()), *(pa.array([a.tobytes() for a in some], pa.binary()) for some in arrays)],
@@ -202,17 +204,21 @@ def _candidates(documents: DataFrame, n: int, percent: int, buckets: int) -> Dat
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, batch in enumerate(batches):
-            sets: dict[int, np.ndarray] = {}
-            for group in groups_of_text(batch["text"].to_pylist()):
-                sets.update((node_of(s), s) for s in gram_sets(group, n) if len(s))
-            if not sets:
-                continue
-            nodes = np.array(list(sets), dtype=np.int64)
-            found, owners = signatures(list(sets.values()), percent)
+            nodes, found, owners = [], [], []
+            for group in groups_of_text(batch["text"].to_pylist(), SIGNED_CHARS):
+                sets = {node_of(s): s for s in gram_sets(group, n) if len(s)}
+                some, places = signatures(list(sets.values()), percent)
+                nodes.append(np.fromiter(sets, dtype=np.int64, count=len(sets)))
+                found.append(some)
+                owners.append(nodes[-1][places])
+            found, owner = np.concatenate([np.zeros(0, np.uint64), *found]), np.concatenate([np.zeros(0, np.int64), *owners])
             if not len(found):
                 continue
-            order = np.lexsort((nodes[owners], found))
-            found, owner = found[order], nodes[owners][order]
+            order = np.lexsort((owner, found))
+            found, owner = found[order], owner[order]
+            again = np.zeros(len(found), dtype=bool)
+            again[1:] = (found[1:] == found[:-1]) & (owner[1:] == owner[:-1])
+            found, owner = found[~again], owner[~again]
             starts = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
             leader = np.repeat(owner[starts], np.diff(np.append(starts, len(found))))
             where = (found[starts] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
@@ -221,8 +227,8 @@ def _candidates(documents: DataFrame, n: int, percent: int, buckets: int) -> Dat
                     for b, (low, high) in enumerate(zip(edges, edges[1:])) if low < high]
             pairs = leader != owner
             if pairs.any():
-                rows.append((-1 - (int(nodes[0]) + number) % buckets, found[pairs], leader[pairs], owner[pairs]))
-            yield _packed("signatures", rows)
+                rows.append((-1 - (int(owner[0]) + number) % buckets, found[pairs], leader[pairs], owner[pairs]))
+            yield _packed(rows)
 
     def stars(table: pa.Table) -> pa.Table:
         def joined(name, kind):
@@ -261,7 +267,7 @@ def _segments(documents: DataFrame, wanted: DataFrame, n: int, percent: int) ->
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.arange(1, PARTS).astype(np.uint64) << np.uint64(64 - (PARTS - 1).bit_length())
         for batch in batches:
-            for group in groups_of_text(batch["text"].to_pylist()):
+            for group in groups_of_text(batch["text"].to_pylist(), SIGNED_CHARS):
                 nodes, parts, grams = [], [], []
                 for own in gram_sets(group, n):
                     if len(own):
