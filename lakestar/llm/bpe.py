@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -89,40 +90,43 @@ def merge_words(symbols: np.ndarray, lengths: np.ndarray, table: PairTable) -> n
         tree[:, level : 2 * level] = np.minimum(
             tree[:, 2 * level : 4 * level : 2], tree[:, 2 * level + 1 : 4 * level : 2])
 
-    def update(row, place, value):
-        at = size + place
-        tree[row, at] = value
-        while at.size and at[0] > 1:
-            at = at >> 1
-            tree[row, at] = np.minimum(tree[row, 2 * at], tree[row, 2 * at + 1])
-
-    def pair_value(row, left):
-        """The leaf of the pair that begins at a place, which may be the last one."""
-        right = following[row, left]
-        inside = right < lengths[row]
+    # Flat views: a place of a row is at row * width + place, a node of its tree at row * 2 * size + node.
+    nodes, ids, after, prior = tree.reshape(-1), symbols.reshape(-1), following.reshape(-1), before.reshape(-1)
+
+    def pair_values(row, left):
+        """The leaves of the pairs that begin at some places, each of which may be the last one of its row."""
+        right = after[row * width + left]
         value = np.full(len(row), NONE, dtype=np.int64)
-        r, a, b = row[inside], left[inside], right[inside]
-        ranks = table.ranks[table.find(symbols[r, a], symbols[r, b])]
-        value[inside] = np.where(ranks < NONE, ranks * size + a, NONE)
+        inside = np.flatnonzero(right < lengths[row])
+        at, left = row[inside] * width, left[inside]
+        ranks = table.ranks[table.find(ids[at + left], ids[at + right[inside]])]
+        value[inside] = np.where(ranks < NONE, ranks * size + left, NONE)
         return value
 
     row = np.flatnonzero(tree[:, 1] < NONE)
     while len(row):
-        place = tree[row, 1] % size
-        right = following[row, place]
-        slot = table.find(symbols[row, place], symbols[row, right])
-        symbols[row, place] = table.merged[slot]
-        symbols[row, right] = -1
-        beyond = following[row, right]
-        following[row, place] = beyond
-        inner = beyond < lengths[row]
-        before[row[inner], beyond[inner]] = place[inner]
-        update(row, right, np.full(len(row), NONE, dtype=np.int64))
-        update(row, place, pair_value(row, place))
-        left = before[row, place]
-        has = left >= 0
-        update(row[has], left[has], pair_value(row[has], left[has]))
-        row = row[tree[row, 1] < NONE]
+        at, top = row * width, row * 2 * size
+        place = nodes[top + 1] % size
+        right = after[at + place]
+        ids[at + place] = table.merged[table.find(ids[at + place], ids[at + right])]
+        ids[at + right] = -1
+        beyond = after[at + right]
+        after[at + place] = beyond
+        inner = np.flatnonzero(beyond < lengths[row])
+        prior[at[inner] + beyond[inner]] = place[inner]
+        left = prior[at + place]
+        has = np.flatnonzero(left >= 0)
+        nodes[top + size + right] = NONE
+        nodes[top + size + place] = pair_values(row, place)
+        nodes[top[has] + size + left[has]] = pair_values(row[has], left[has])
+        # The three leaves' paths to the root, level by level.
+        base = np.concatenate([top, top, top[has]])
+        node = np.concatenate([right, place, left[has]]) + size
+        for _ in range(size.bit_length() - 1):
+            node >>= 1
+            below = base + 2 * node
+            nodes[base + node] = np.minimum(nodes[below], nodes[below + 1])
+        row = row[nodes[top + 1] < NONE]
     return symbols
 
 
@@ -143,6 +147,9 @@ class ByteBPE:
                 self.bytes_of[i] = bytes(byte_of[c] for c in token)
         for token, i in self.specials.items():
             self.bytes_of[i] = token.encode()
+        self.sizes = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.letters = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
         pairs: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, (a, b) in enumerate(merges):
@@ -150,10 +157,9 @@ class ByteBPE:
         self.table = PairTable(pairs, size)
         self.first = np.array([vocabulary[letter] for letter in byte_letters()], dtype=np.int64)
         self.split = regex.compile(SPLIT)
-        self.blanks = regex.compile(r"\A\s| \s|\s |\s\Z")
         marks = "|".join(regex.escape(s) for s in sorted(self.specials, key=len, reverse=True))
         self.special = regex.compile(f"({marks})") if marks else None
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # parts of texts between blanks
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each word (no merge crosses words)."""
@@ -182,20 +188,37 @@ class ByteBPE:
             at = until
         return out
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of distinct texts without special tokens; distinct words of all of them are merged together."""
         split = {c: self.split.findall(c) for c in chunks}
         words = list({w for s in split.values() for w in s})
         ids = dict(zip(words, self.encode_words([w.encode("utf-8", "surrogatepass") for w in words])))
-        self.known.update((c, b"".join(map(ids.__getitem__, s))) for c, s in split.items())
+        return {c: b"".join([ids[w] for w in s]) for c, s in split.items()}
+
+    def _learn(self, parts: list[str]) -> None:
+        """Keep the ids of distinct parts that follow a blank; none for one that is empty
+        or has white space at an end.
+
+        The pattern always cuts before the blank of the others, so they are split as one text, and a word
+        that begins with a blank begins a part. Parts of ASCII letters are one word each.
+        """
+        plain = [p for p in parts if p.isascii() and p.isalpha()]
+        other = [p for p in parts if p and not (p.isascii() and p.isalpha()) and not (p[0].isspace() or p[-1].isspace())]
+        split = self.split.findall("".join([f" {p}" for p in other]))
+        words = list({*split, *(f" {p}" for p in plain)})
+        ids = dict(zip(words, self.encode_words([w.encode("utf-8", "surrogatepass") for w in words])))
+        self.known.update(dict.fromkeys(parts, b""))
+        self.known.update(zip(plain, [ids[f" {p}"] for p in plain]))
+        bounds = [*(i for i, w in enumerate(split) if w[0] == " "), len(split)]
+        for part, start, end in zip(other, bounds[:-1], bounds[1:], strict=True):
+            self.known[part] = ids[split[start]] if end - start == 1 else b"".join([ids[w] for w in split[start:end]])
 
     def _chunks(self, text: str) -> list[str]:
-        """Parts of a text between special tokens, cut before single blanks, where the pattern always cuts.
+        """A text without special tokens, cut before single blanks, where the pattern always cuts.
 
-        A blank that follows or precedes white space is no such place; texts with one stay whole there.
+        A blank that follows or precedes white space is no such place.
         """
         parts = text.split(" ")
-        if not self.blanks.search(text):
-            return [parts[0], *(f" {p}" for p in parts[1:])]
         chunks, last = [[parts[0]]], parts[0]
         for part in parts[1:]:
             if not part or part[0].isspace() or not last or last[-1].isspace():
@@ -205,26 +228,67 @@ class ByteBPE:
             last = part
         return [" ".join(c) for c in chunks]
 
+    def _encode_carefully(self, texts: list[str]) -> Iterator[bytes]:
+        """Texts with special tokens, or with white space next to a blank."""
+        # Every second piece is a special token.
+        cut = [self.special.split(t) if self.special else [t] for t in texts]
+        chunks = [[self._chunks(piece) for piece in pieces[::2]] for pieces in cut]
+        ids = self._encode_chunks(list({c for text in chunks for piece in text for c in piece}))
+        for pieces, text in zip(cut, chunks):
+            coded = [b"".join(map(ids.__getitem__, piece)) for piece in text]
+            marks = [np.array([self.specials[m]], "<u4").tobytes() for m in pieces[1::2]]
+            yield b"".join(part for pair in zip(coded, [*marks, b""]) for part in pair)
+
+    def _encode_group(self, texts: list[str]) -> Iterator[bytes]:
+        """Texts cut at blanks: each distinct part is looked up once, and its ids are copied to all its places."""
+        parts = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        coded, bounds = parts.values.dictionary_encode(), parts.offsets.to_numpy()
+        distinct, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        ids = list(map(self.known.get, distinct))
+        new = [k for k, i in enumerate(ids) if i is None]
+        if len(self.known) + len(new) > KEPT_CHUNKS:
+            new, self.known = range(len(distinct)), {}
+        self._learn([distinct[k] for k in new])
+        for k in new:
+            ids[k] = self.known[distinct[k]]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, starts = np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(sizes) - sizes
+        # The first part of a text has no blank before it.
+        at, firsts = bounds[:-1], [t.partition(" ")[0] for t in texts]
+        begin = self._encode_chunks(list(set(firsts)))
+        taken = sizes[index]
+        taken[at] = 0
+        ends = np.cumsum(taken)
+        places = np.arange(ends[-1]) + np.repeat(starts[index] - (ends - taken), taken)
+        out = flat[places]
+        odd = (sizes == 0)[index]
+        odd[at] = [p == "" or p[-1].isspace() for p in firsts]
+        odd[at] &= np.diff(bounds) > 1
+        careful = np.logical_or.reduceat(odd, at)
+        if self.special:
+            careful |= [self.special.search(t) is not None for t in texts]
+        carefully = self._encode_carefully([t for t, c in zip(texts, careful) if c])
+        for i, first in enumerate(firsts):
+            if careful[i]:
+                yield next(carefully)
+            else:
+                yield begin[first] + out[ends[bounds[i]] : ends[bounds[i + 1] - 1]].tobytes()
+
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text in turn; none for null."""
         for group in groups_of_text(texts):
-            # Every second piece is a special token.
-            cut = [self.special.split(t) if self.special else [t] for t in group]
-            chunks = [[self._chunks(piece) for piece in pieces[::2]] for pieces in cut]
-            new = {c for text in chunks for piece in text for c in piece}.difference(self.known)
-            if new:
-                if len(self.known) + len(new) > KEPT_CHUNKS:
-                    new, self.known = {c for text in chunks for piece in text for c in piece}, {}
-                self._learn(new)
-            for pieces, plain in zip(cut, chunks):
-                ids = [b"".join(map(self.known.__getitem__, piece)) for piece in plain]
-                marks = [np.array([self.specials[m]], "<u4").tobytes() for m in pieces[1::2]]
-                yield b"".join(part for pair in zip(ids, [*marks, b""]) for part in pair)
+            yield from self._encode_group(group)
 
     def decode(self, ids: bytes) -> str:
         """The text of little-endian 32-bit ids, special tokens included; bad bytes become U+FFFD."""
-        numbers = np.frombuffer(ids, dtype="<u4").tolist()
-        return b"".join(map(self.bytes_of.__getitem__, numbers)).decode("utf-8", "replace")
+        numbers, parts = np.frombuffer(ids, dtype="<u4"), []
+        for at in range(0, len(numbers), BLOCK_LEAVES):
+            block = numbers[at : at + BLOCK_LEAVES]
+            sizes = self.sizes[block]
+            ends = np.cumsum(sizes)
+            places = np.arange(ends[-1]) + np.repeat(self.starts[block] - (ends - sizes), sizes)
+            parts.append(self.letters[places].tobytes())
+        return b"".join(parts).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=1)
