@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -52,6 +53,15 @@ def stamp_in_path(path: str | Column, pattern: str = STAMPED_FOLDER) -> Column:
     return F.try_to_timestamp(F.nullif(found, F.lit("")), F.lit(STAMP_FORMAT))
 
 
+def stamp_of_name(name: str, pattern: str = STAMPED_FOLDER) -> datetime | None:
+    """Run stamp of a folder name; None if it carries no valid one."""
+    found = re.fullmatch(pattern, name)
+    try:
+        return datetime.strptime(found[1], STAMP_PYTHON_FORMAT) if found else None
+    except ValueError:
+        return None
+
+
 def calendar_bounds(as_of: str | Column) -> tuple[Column, Column]:
     """First and last day of the default ten-year calendar around a day.
 

@@ -47,6 +47,12 @@ def surrogate_key(*natural: str | Column, source: str, separator: str | None = N
 
 
 def version_key(entity_key: str | Column, valid_from: str | Column) -> Column:
-    """Key of one version of an entity: the durable key plus the start of validity."""
-    stamp = F.date_format(_column(valid_from), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    """Key of one version of an entity: the durable key plus the start of validity.
+
+    An instant is written in UTC, whatever the session's time zone; a time without a zone as it is.
+    """
+    start = _column(valid_from)
+    in_utc = F.to_utc_timestamp(start, F.current_timezone())
+    start = F.when(F.typeof(start) == "timestamp", in_utc).otherwise(start)
+    stamp = F.date_format(start, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return F.sha2(F.concat(_column(entity_key), F.lit(KEY_SEPARATOR), stamp), 256)

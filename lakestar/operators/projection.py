@@ -24,6 +24,32 @@ def as_column(value: object) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
+def _fitted(df: DataFrame, contract: Contract, name: str) -> Column:
+    """A present column in its declared type; null where the value does not fit."""
+    data_type = contract.schema[name].dataType
+    if name in contract.dates and isinstance(df.schema[name].dataType, StringType):
+        return parse_partial_date(name, data_type.simpleString())
+    return F.col(name).try_cast(data_type)
+
+
+def misfit_columns(df: DataFrame, contract: Contract) -> dict[str, Column]:
+    """Whether a value does not fit, per declared column that is present with another type."""
+    return {
+        f.name: F.col(f.name).isNotNull() & _fitted(df, contract, f.name).isNull()
+        for f in contract.schema.fields
+        if f.name in df.columns and df.schema[f.name].dataType != f.dataType
+    }
+
+
+def misfits(df: DataFrame, contract: Contract) -> Column:
+    """``name=value`` lines of the values of a row that do not fit their types; null if all fit."""
+    found = [
+        F.when(wrong, F.concat(F.lit(f"{name}="), F.col(name).cast("string")))
+        for name, wrong in misfit_columns(df, contract).items()
+    ]
+    return F.nullif(F.concat_ws("\n", *found), F.lit("")) if found else F.lit(None).cast("string")
+
+
 def enforce_contract(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataFrame:
     """Cast to the declared types in the declared order; drop extras except ``keep``.
 
@@ -38,10 +64,8 @@ def enforce_contract(df: DataFrame, contract: Contract, keep: Sequence[str] = ()
     for f in contract.schema.fields:
         if f.name not in df.columns:
             value = F.lit(None).cast(f.dataType)
-        elif f.name in contract.dates and isinstance(df.schema[f.name].dataType, StringType):
-            value = parse_partial_date(f.name, f.dataType.simpleString())
         else:
-            value = F.col(f.name).try_cast(f.dataType)
+            value = _fitted(df, contract, f.name)
         projected.append(value.alias(f.name))
     return df.select(*projected, *keep)
 

@@ -10,11 +10,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from lakestar.contracts import Contract
-from lakestar.functions.dates import parse_partial_date
-from lakestar.operators.projection import as_column, canonicalize, union_by_name
+from lakestar.operators.projection import as_column, canonicalize, misfit_columns, union_by_name
 
 TIMESTAMPS = (TimestampType, TimestampNTZType)
 OLDEST = "1900-01-01"
@@ -100,15 +99,7 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     df = canonicalize(df, contract.renames)
     declared = {f.name: f.dataType for f in contract.schema.fields}
     actual = {f.name: f.dataType for f in df.schema.fields}
-    checks: dict[str, Column] = {}
-    for name, data_type in declared.items():
-        if name not in actual or actual[name] == data_type:
-            continue
-        if name in contract.dates and isinstance(actual[name], StringType):
-            fitted = parse_partial_date(name, data_type.simpleString())
-        else:
-            fitted = F.col(name).try_cast(data_type)
-        checks[name] = F.count_if(F.col(name).isNotNull() & fitted.isNull())
+    checks = {name: F.count_if(wrong) for name, wrong in misfit_columns(df, contract).items()}
     totals = df.agg(
         F.count(F.lit(1)).alias("__rows"), *(check.alias(name) for name, check in checks.items())
     )

@@ -12,6 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from lakestar.functions.hashing import row_hash
 from lakestar.operators.projection import as_column, current_rows
@@ -20,8 +21,12 @@ HASH = "hash_key"
 
 
 def with_hash(df: DataFrame, tracked: Sequence[str], name: str = HASH) -> DataFrame:
-    """Add the change hash over the tracked columns."""
-    return df.withColumn(name, row_hash(*tracked))
+    """Add the change hash over the tracked columns.
+
+    Instants enter as microseconds, so that the hash does not depend on the session's time zone.
+    """
+    values = (F.unix_micros(c) if isinstance(df.schema[c].dataType, TimestampType) else F.col(c) for c in tracked)
+    return df.withColumn(name, row_hash(*values))
 
 
 def scd2_initial(staged: DataFrame, as_of: datetime | Column) -> DataFrame:
@@ -61,10 +66,17 @@ def changed_or_new(
     return joined.filter(F.col("__known").isNull() | change).select(*staged.columns)
 
 
+def _ending(start: Column, end: Column) -> Column:
+    """The end of a version; the job fails if it does not lie after its start."""
+    wrong = F.raise_error(F.lit("as_of does not lie after the start of a version it would close"))
+    return F.when(start < end, end).otherwise(wrong)
+
+
 def expire(rows: DataFrame, as_of: datetime | Column) -> DataFrame:
-    """Close versions at the load time."""
+    """Close versions at the load time, which has to lie after their start."""
     end = as_column(as_of)
-    closed = {"is_current": F.lit(False), "valid_to": end.cast(rows.schema["valid_to"].dataType)}
+    ending = _ending(F.col("valid_from"), end).cast(rows.schema["valid_to"].dataType)
+    closed = {"is_current": F.lit(False), "valid_to": ending}
     if "last_updated" in rows.columns:
         closed["last_updated"] = end.cast(rows.schema["last_updated"].dataType)
     return rows.withColumns(closed)
@@ -82,7 +94,8 @@ def scd2_apply(
     One full outer join of current versions and stage on the key, both unique there, pairs old and
     new; each pair then yields one or two rows. History rows skip the join. Keys missing from the
     stage stay current, and applying the same stage again changes nothing. With ``event_time`` a
-    staged row older than the current version is dropped.
+    staged row older than the current version is dropped. ``as_of`` has to lie after the start of every
+    version that it closes, or the job fails.
     """
     columns = target.columns
     opened = scd2_initial(staged, as_of)
@@ -90,7 +103,8 @@ def scd2_apply(
     old = current_rows(target).select(*keys, F.struct(*columns).alias("old"))
     new = opened.select(*keys, F.struct(*columns).alias("new"))
     closed = F.col("old").withField("is_current", F.lit(False)).withField(
-        "valid_to", as_column(as_of).cast(target.schema["valid_to"].dataType)
+        "valid_to",
+        _ending(F.col("old.valid_from"), as_column(as_of)).cast(target.schema["valid_to"].dataType),
     )
     if "last_updated" in columns:
         closed = closed.withField(

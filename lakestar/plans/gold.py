@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar.contracts import DIM_ALBUMS, DIM_ARTISTS, DIM_TRACKS, FACT_TRACK_PLAYS, Contract
-from lakestar.functions.dates import calendar_bounds, date_key
+from lakestar.functions.dates import calendar_bounds, date_key, run_stamp
 from lakestar.functions.hashing import surrogate_key
 from lakestar.operators.dimensions import (
     date_dimension, date_spine, dimension_insert_only, dimension_scd2,
 )
 from lakestar.operators.facts import Lookup, snapshot_fact
 from lakestar.operators.projection import current_rows
+from lakestar.operators.quality import table_profile
 from lakestar.operators.rankings import (
     avg_by_year, top_entities_by_avg, top_groups_by_count, top_groups_prelimit,
 )
@@ -102,11 +103,12 @@ def load_fact(
         lookups.append(Lookup(rows.withColumn(key, surrogate_key(natural, source=source_system)), natural, key))
     fact = snapshot_fact(
         tracks, lookups, ["popularity"],
-        {"date_key": date_key(F.lit(as_of.date())), "play_count": F.lit(1), "last_updated": F.lit(as_of)},
+        {"date_key": date_key(F.lit(as_of.date())), "play_count": F.lit(1), "last_updated": as_of},
         keep=["track_key"],
     )
     path = f"{layout.gold}/{FACT_TRACK_PLAYS.name}"
-    return {"written": replace_partition(fact.select(*FACT_TRACK_PLAYS.columns), path, "date_key")}
+    fact, day = fact.select(*FACT_TRACK_PLAYS.columns), int(as_of.strftime("%Y%m%d"))
+    return {"written": replace_partition(fact, path, "date_key", [day])}
 
 
 # Collections of the document export: name, table, timestamp columns to fill.
@@ -119,11 +121,18 @@ COLLECTIONS = (
 
 
 def run_export(spark: SparkSession, layout: Layout, as_of: datetime) -> dict[str, str]:
-    """Replace every document collection by the current content of its table."""
-    return {
+    """Replace every document collection by the current content of its table.
+
+    Returns the folder of each collection, and under ``profile`` that of the profile of the tables:
+    columns, types, nulls and rows, taken before the export.
+    """
+    profile = f"{layout.rejected}/export/export_{run_stamp(as_of)}"
+    exported = {name: table_read(spark, f"{layout.gold}/{table}") for name, table, _ in COLLECTIONS}
+    table_profile(exported).write.mode("overwrite").json(profile)
+    return {"profile": profile} | {
         name: export_documents(
-            table_read(spark, f"{layout.gold}/{table}"), f"{layout.documents}/{name}", as_of, fill)
-        for name, table, fill in COLLECTIONS
+            exported[name], f"{layout.documents}/{name}", as_of, fill)
+        for name, _, fill in COLLECTIONS
     }
 
 

@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakestar.contracts import Contract
-from lakestar.functions.dates import STAMPED_FOLDER, stamp_in_path
-from lakestar.operators.projection import enforce_contract, union_by_name
+from lakestar.functions.dates import STAMPED_FOLDER, stamp_of_name
+from lakestar.operators.projection import canonicalize, enforce_contract, misfits, union_by_name
+from lakestar.sources.files import matching_paths
 
 FORMATS = ("csv", "json", "parquet")
 SOURCE_FILE = "source_file"
 CORRUPT = "corrupt_record"
+MISFITS = "misfits"
+PROBLEM = "problem"
+SUCCESS = "_SUCCESS"
 
 # Quotes are doubled and fields may hold newlines; blanks around a value belong to the value.
 CSV_OPTIONS = {
@@ -36,27 +40,34 @@ def landing_files(spark: SparkSession, folder: str, formats: Sequence[str] = FOR
         .option("pathGlobFilter", "*.{" + ",".join(formats) + "}")
         .load(folder)
     )
-    return files.select("path", F.col("modificationTime").alias("modified"), "length")
+    # Scans are cut by file lengths, though no content is read: a listing needs no more tasks than cores.
+    listed = files.select("path", F.col("modificationTime").alias("modified"), "length")
+    return listed.coalesce(spark.sparkContext.defaultParallelism)
 
 
 def present_formats(spark: SparkSession, folder: str) -> list[str]:
-    """The formats that have at least one file; at most one row per format reaches the driver."""
-    suffix = F.regexp_extract("path", r"\.([a-z]+)$", 1).alias("format")
-    return sorted(r["format"] for r in landing_files(spark, folder).select(suffix).distinct().collect())
+    """The formats that have at least one file: one file per format is looked at."""
+    return [f for f in FORMATS if landing_files(spark, folder, (f,)).select("path").take(1)]
 
 
-def latest_snapshot(spark: SparkSession, base: str, pattern: str = STAMPED_FOLDER) -> str | None:
-    """The newest stamped folder below ``base`` that holds Parquet files, or None.
+def latest_snapshot(
+    spark: SparkSession, base: str, pattern: str = STAMPED_FOLDER, *, committed: bool = True
+) -> str | None:
+    """The newest stamped folder directly below ``base``, or None.
 
-    Only file names are looked at and one row reaches the driver. Folders without files or without
-    a valid stamp are ignored, and so are files that a running job has not committed yet.
+    Folders are listed through the file system, no job runs. A folder counts once its job has written
+    ``_SUCCESS``; with ``committed`` off, for writers that leave no such mark, once it holds a Parquet
+    file, directly or in a partition folder. Folders without a valid stamp are ignored.
     """
-    stamped = landing_files(spark, base, ("parquet",)).select(
-        F.regexp_extract("path", f"^(.*/{pattern})/", 1).alias("folder"),
-        stamp_in_path("path", pattern).alias("stamp"),
-    )
-    newest = stamped.filter(F.col("stamp").isNotNull() & (F.col("folder") != ""))
-    return newest.agg(F.max_by("folder", "stamp").alias("folder")).first()["folder"]
+    marks = [SUCCESS] if committed else ["*.parquet", "*=*/*.parquet"]
+    found = set()
+    for mark in marks:
+        for path in matching_paths(spark, f"{base}/*/{mark}"):
+            folder = path.getParent() if mark.count("/") == 0 else path.getParent().getParent()
+            stamp = stamp_of_name(folder.getName(), pattern)
+            if stamp is not None:
+                found.add((stamp, folder.toString()))
+    return max(found)[1] if found else None
 
 
 def _reader(spark: SparkSession, fmt: str, skip_unreadable: bool) -> DataFrameReader:
@@ -118,27 +129,63 @@ def with_source_file(df: DataFrame) -> DataFrame:
 
 
 def read_landing(
-    spark: SparkSession, folder: str, contract: Contract, fmt: str, *, skip_unreadable: bool = False
+    spark: SparkSession, folder: str, contract: Contract, fmt: str, *, skip_unreadable: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """All files of one format below a folder, in the contract's types, with their source file."""
-    df = READERS[fmt](spark, folder, contract, skip_unreadable=skip_unreadable)
+    options = {"multi_line": multi_line} if fmt == "csv" else {}
+    df = READERS[fmt](spark, folder, contract, skip_unreadable=skip_unreadable, **options)
     return enforce_contract(df, contract, keep=[SOURCE_FILE])
 
 
 def landing_union(
-    spark: SparkSession, folder: str, contract: Contract, *, skip_unreadable: bool = False
+    spark: SparkSession, folder: str, contract: Contract, *, skip_unreadable: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """All files of all formats below a folder as one frame: one scan per format, not per file.
 
     An unreadable file fails the job unless ``skip_unreadable`` is set, which leaves out the rest
     of a corrupt file and logs a warning.
     """
+    return union_by_name(*(
+        read_landing(spark, folder, contract, f, skip_unreadable=skip_unreadable, multi_line=multi_line)
+        for f in _formats_of(spark, folder)
+    ))
+
+
+def _formats_of(spark: SparkSession, folder: str) -> list[str]:
     formats = present_formats(spark, folder)
     if not formats:
         raise FileNotFoundError(f"no landing files below {folder}")
-    return union_by_name(
-        *(read_landing(spark, folder, contract, f, skip_unreadable=skip_unreadable) for f in formats)
-    )
+    return formats
+
+
+def with_problem(df: DataFrame, contract: Contract) -> DataFrame:
+    """Rows in the contract's types with their source file and what is wrong with them.
+
+    ``problem`` is ``corrupt`` for a record that does not parse, ``no key`` for a row without a complete
+    key, ``misfit`` for a row with values that do not fit their types, which are null and listed in
+    ``misfits``, else ``none``.
+    """
+    df = canonicalize(df, contract.renames)
+    if CORRUPT not in df.columns:
+        df = df.withColumn(CORRUPT, F.lit(None).cast("string"))
+    df = df.withColumn(MISFITS, misfits(df, contract))
+    rows = enforce_contract(df, contract, keep=[SOURCE_FILE, CORRUPT, MISFITS])
+    keyless = F.concat(*(F.col(k).cast("string") for k in contract.keys)).isNull()
+    problem = F.when(F.col(CORRUPT).isNotNull(), "corrupt").when(keyless, "no key")
+    return rows.withColumn(PROBLEM, problem.when(F.col(MISFITS).isNotNull(), "misfit").otherwise("none"))
+
+
+def checked_landing(
+    spark: SparkSession, folder: str, contract: Contract, formats: Sequence[str] = ()
+) -> DataFrame:
+    """`landing_union` that keeps every record and tells what is wrong with it, see `with_problem`."""
+    frames = []
+    for fmt in formats or _formats_of(spark, folder):
+        options = {} if fmt == "parquet" else {"corrupt": True}
+        frames.append(with_problem(READERS[fmt](spark, folder, contract, **options), contract))
+    return union_by_name(*frames)
 
 
 def corrupt_rows(spark: SparkSession, folder: str, contract: Contract) -> DataFrame:

@@ -25,22 +25,16 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from lakestar.operators.projection import current_rows
 from lakestar.operators.quality import observe_counts
 from lakestar.operators.scd import changed_or_new, expire, insert_new_only, scd2_initial
+from lakestar.sources.files import delete_folder, matching_paths
+from lakestar.sources.landing import SUCCESS
 
-SUCCESS = "_SUCCESS"
 # Versions that stay after a publish: the new one, and the one that running readers still use.
 KEEP = 2
 
 
-def _glob(spark: SparkSession, pattern: str) -> list:
-    """Paths that match a pattern, through the file system of the path."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
-    return [status.getPath() for status in found or []]
-
-
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions below a folder, oldest first."""
-    return sorted(int(p.getParent().getName()[2:]) for p in _glob(spark, f"{path}/v=*/{SUCCESS}"))
+    return sorted(int(p.getParent().getName()[2:]) for p in matching_paths(spark, f"{path}/v=*/{SUCCESS}"))
 
 
 def _is_plain(spark: SparkSession, path: str) -> bool:
@@ -48,7 +42,7 @@ def _is_plain(spark: SparkSession, path: str) -> bool:
 
     Replacing partitions leaves no ``_SUCCESS`` behind, but moves files in only when it commits.
     """
-    names = (p.getName() for p in _glob(spark, f"{path}/*"))
+    names = (p.getName() for p in matching_paths(spark, f"{path}/*"))
     layout = ("current", "history", "delta")
     return any(n[0] not in "_." and not n.startswith("v=") and n not in layout for n in names)
 
@@ -99,11 +93,19 @@ def table_insert_new(staged: DataFrame, path: str, keys: Sequence[str]) -> int:
     return table_append(staged, path)
 
 
-def replace_partition(df: DataFrame, path: str, partition: str) -> int:
-    """Replace exactly the partitions that occur in the frame, in one commit; return its rows."""
-    counted, df = observe_counts(df)
+def replace_partition(df: DataFrame, path: str, partition: str, values: Sequence[int | str] = ()) -> int:
+    """Replace the partitions that occur in the frame, in one commit; return its rows.
+
+    Partitions of the named ``values`` are replaced even if the frame has no row for them: those are
+    then deleted.
+    """
+    counted, df = observe_counts(
+        df, **{f"of_{i}": F.count_if(F.col(partition) == F.lit(v)) for i, v in enumerate(values)})
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(partition).parquet(path)
+    for i, value in enumerate(values):
+        if not counted.get[f"of_{i}"]:
+            delete_folder(df.sparkSession, f"{path}/{partition}={value}")
     return counted.get["rows"]
 
 
@@ -131,7 +133,8 @@ def scd2_merge(
     their size is known, so Spark broadcasts them where that pays and the current versions are
     neither shuffled nor compared twice. Without changes nothing is published. ``columns`` fixes the
     column order of a new table. Returns the counts of inserted and expired versions, taken during
-    the writes.
+    the writes. ``as_of`` has to lie after the start of every version that it closes; otherwise the
+    merge fails and publishes nothing.
     """
     spark = staged.sparkSession
     version = latest_version(spark, f"{path}/current")
@@ -172,6 +175,5 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = KEEP) -> int:
     """Delete all but the ``keep`` newest complete versions (0 keeps all); return how many went."""
     old = _versions(spark, path)[:-keep] if keep else []
     for version in old:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v={version}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(spark, f"{path}/v={version}")
     return len(old)

@@ -68,8 +68,9 @@ def test_counts_of_the_runs(lake):
     assert extract1["songs.landed"] == 6 and extract2["songs.landed"] == 9
     assert (extract1["pages.read"], extract1["pages.rejected"]) == (3, 0)
     assert (extract2["pages.read"], extract2["pages.rejected"]) == (4, 1)
+    none = {f"{step}.{metric}": 0 for step in ("artists", "albums", "tracks") for metric in ("corrupt", "misfits")}
     assert silver1 == {"artists.inserted": 4, "artists.expired": 0, "artists.rejected": 0, "albums.inserted": 1,
-                       "albums.expired": 0, "albums.rejected": 0, "tracks.inserted": 3, "tracks.rejected": 3}
+                       "albums.expired": 0, "albums.rejected": 0, "tracks.inserted": 3, "tracks.rejected": 3, **none}
     assert (silver2["artists.inserted"], silver2["artists.expired"]) == (2, 1)
     assert (silver2["albums.inserted"], silver2["albums.expired"], silver2["tracks.inserted"]) == (1, 1, 1)
     assert (gold1["dim_albums.inserted"], gold2["dim_albums.inserted"], gold2["dim_albums.expired"]) == (1, 1, 1)
@@ -136,6 +137,8 @@ def test_export_and_analysis(spark, lake):
     layout, _ = lake
     exported = run_export(spark, layout, T2)
     assert spark.read.text(exported["artists"]).count() == table_read(spark, f"{layout.gold}/dim_artists").count()
+    profile = {(r["table_name"], r["column_name"]): r for r in spark.read.json(exported["profile"]).collect()}
+    assert profile["tracks", "album_id"]["row_count"] == table_read(spark, f"{layout.gold}/dim_tracks").count()
     found = analysis(spark, layout)
     top = [(r["artist_name"], r["avg_popularity"]) for r in found["artists_by_popularity"].collect()]
     assert top == [('artist "zz"\n', 99.0), ('artist "a1"\nrenamed', 10.0)]

@@ -4,6 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lakestar.functions.hashing import version_key
 from lakestar.operators.history import scd2_history
 from lakestar.operators.scd import changed_or_new, insert_new_only, scd2_apply, scd2_initial, with_hash
 from tests.conftest import T0, T1, T2
@@ -139,3 +140,17 @@ def test_plain_history_takes_one_shuffle(spark):
     final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("Exchange hashpartitioning(id") == 1
     assert final.count("Sort [") == 1
+
+
+def test_hashes_and_version_keys_do_not_depend_on_the_sessions_zone(spark):
+    frame = spark.range(1).select(
+        F.timestamp_seconds(F.lit(1_700_000_000)).alias("at"), F.lit("2026-01-02 03:04:05").cast("timestamp_ntz").alias("local"))
+    before, found = spark.conf.get("spark.sql.session.timeZone"), []
+    try:
+        for zone in ("UTC", "Europe/Berlin", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            hashed = with_hash(frame, ["at", "local"])
+            found.append(tuple(hashed.select("hash_key", version_key(F.lit("k"), "at"), version_key(F.lit("k"), "local")).first()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert len(set(found)) == 1

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from lakestar.contracts import STAGED_ALBUMS, STAGED_ARTISTS, Contract, declare_table
 from lakestar.operators.projection import current_rows
-from lakestar.operators.scd import with_hash
+from lakestar.operators.scd import scd2_apply, scd2_initial, with_hash
 from lakestar.session import scratch_dir
 from lakestar.sources import landing, pages, tables, writers
-from lakestar.streaming.pickup import stream_landing
+from lakestar.streaming.pickup import picked_up, stream_landing
 from tests.conftest import T0, T1, T2
 
 NOTE = Contract("notes", "id string, note string", keys=("id",))
@@ -93,6 +93,38 @@ def test_latest_snapshot_ignores_empty_bad_and_unstamped_folders(spark, tmp_path
     assert landing.latest_snapshot(spark, f"{base}/elsewhere") is None
 
 
+def test_latest_snapshot_passes_over_a_torn_one(spark, tmp_path):
+    base = str(tmp_path)
+    kept, _ = writers.stage_clustered(notes(spark, ("1", "old")), base, "id", T0)
+    torn, _ = writers.stage_clustered(notes(spark, ("2", "new")), base, "id", T1)
+    os.remove(f"{torn}/_SUCCESS")
+    assert landing.latest_snapshot(spark, base).endswith(kept)
+    assert landing.latest_snapshot(spark, base, committed=False).endswith(torn)
+
+
+def test_listing_takes_no_more_tasks_than_cores(spark, tmp_path):
+    notes(spark, *((str(i), "n") for i in range(40))).repartition(40).write.csv(str(tmp_path / "c"), header=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+        listed = landing.landing_files(spark, str(tmp_path))
+        assert listed.count() == len([n for n in os.listdir(tmp_path / "c") if n.endswith(".csv")]) > 8
+        assert listed.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_checked_rows_tell_what_is_wrong(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,n\n1,7\n2,x\n,3\n4,5,6\n5\n")
+    (tmp_path / "b.json").write_text('{"id": "6", "n": 1}\n{"id": \n')
+    counted = Contract("counted", "id string, n int", keys=("id",))
+    out = landing.checked_landing(spark, str(tmp_path), counted)
+    assert content(out, "id", "n", "misfits", "problem")[:4] == sorted(
+        [("1", 7, None, "none"), ("2", None, "n=x", "misfit"), ("4", 5, None, "corrupt"), ("5", None, None, "corrupt")], key=repr)
+    assert {r["problem"]: r["count"] for r in out.groupBy("problem").count().collect()} == {
+        "none": 2, "misfit": 1, "no key": 1, "corrupt": 3}
+
+
 def test_clustered_staging_keeps_a_key_in_one_bucket(spark, tmp_path):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"), "id")
     path, count = writers.stage_clustered(df, str(tmp_path), "k", T0, buckets=10)
@@ -197,6 +229,27 @@ def test_partition_replacement_leaves_other_days(spark, tmp_path):
     assert content(tables.table_read(spark, path)) == [("a", 1), ("b", 1), ("c", 2)]
 
 
+def test_a_day_can_be_replaced_by_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = spark.createDataFrame([("a", 1), ("b", 2)], "k string, day int")
+    tables.replace_partition(days, path, "day")
+    assert tables.replace_partition(days.filter("day = 3"), path, "day", [2, 3]) == 0
+    assert content(tables.table_read(spark, path)) == [("a", 1)]
+
+
+def test_a_version_cannot_end_before_it_starts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.scd2_merge(_hashed(spark, ("a", "1")), path, ["id"], T1)
+    for as_of in (T1, T0):
+        with pytest.raises(Exception, match="does not lie after"):
+            tables.scd2_merge(_hashed(spark, ("a", "2")), path, ["id"], as_of)
+        target = scd2_initial(_hashed(spark, ("a", "1")), T1)
+        with pytest.raises(Exception, match="does not lie after"):
+            scd2_apply(target, _hashed(spark, ("a", "2")), ["id"], as_of).collect()
+    assert content(tables.table_read(spark, path), "note", "valid_to") == [("1", None)]
+    assert tables.scd2_merge(_hashed(spark, ("a", "2")), path, ["id"], T2) == {"inserted": 1, "expired": 1}
+
+
 def test_documents_are_replaced_and_open_ends_stay_open(spark, tmp_path):
     df = spark.createDataFrame([("a", None, None), (None, None, None)], "id string, valid_from timestamp, valid_to timestamp")
     path = str(tmp_path / "docs")
@@ -228,7 +281,7 @@ def test_stream_takes_every_file_once_and_drops_late_rows(spark, tmp_path):
         writers.land_snapshot(rows, f"{base}/in", "artists", as_of)
 
     def run(as_of):
-        stream_landing(spark, f"{base}/in", STAGED_ARTISTS, f"{base}/t", f"{base}/ck", as_of).awaitTermination()
+        stream_landing(spark, f"{base}/in", STAGED_ARTISTS, f"{base}/t", f"{base}/ck", as_of)
         return [r["artist_name"] for r in tables.table_read(spark, f"{base}/t").orderBy("valid_from").collect()]
 
     land("one", "2026-01-02T00:00:00", T0)
@@ -238,3 +291,23 @@ def test_stream_takes_every_file_once_and_drops_late_rows(spark, tmp_path):
     assert run(T1) == ["one"]
     land("two", "2026-01-03T00:00:00", T2)
     assert run(T2) == ["one", "two"]
+
+
+@pytest.mark.parametrize("per_batch", [1, 2, 1000])
+def test_the_size_of_batches_does_not_change_the_table(spark, tmp_path, per_batch):
+    base = str(tmp_path)
+    schema = "artist_id string, artist_name string, external_url string, extraction_date string"
+    for day, name in enumerate(("one", "two", "three"), 1):
+        rows = [("a", name, "u", f"2026-01-0{day}T00:00:00"), (None, "lost", "u", "2026-01-01T00:00:00")]
+        writers.land_snapshot(spark.createDataFrame(rows, schema), f"{base}/in", f"artists{day}", T0)
+    found = stream_landing(spark, f"{base}/in", STAGED_ARTISTS, f"{base}/t", f"{base}/ck", T1, per_batch)
+    assert found == {"inserted": 1, "expired": 0, "rejected": 3}
+    assert content(tables.table_read(spark, f"{base}/t"), "artist_name", "valid_from", "valid_to") == [("three", T1, None)]
+    assert picked_up(spark, f"{base}/ck").filter("problem = 'no key'").count() == 3
+
+
+def test_a_stream_over_an_empty_folder_does_nothing(spark, tmp_path):
+    os.makedirs(tmp_path / "in")
+    base = str(tmp_path)
+    found = stream_landing(spark, f"{base}/in", STAGED_ARTISTS, f"{base}/t", f"{base}/ck", T1)
+    assert found == {"inserted": 0, "expired": 0, "rejected": 0}
