@@ -14,7 +14,8 @@ BROADCAST_ROWS = 200_000
 HOT_ROWS = 2_000_000
 # Parts over which the rows of a hot key are spread.
 SALTS = 64
-# Upper bound on the hot keys that are singled out; keys beyond it only lose the special treatment.
+# Upper bound on the hot keys that are singled out, the largest first: any further key holds less than a
+# 20,000th of all rows, which a shuffle by key deals out as it is.
 MAX_HOT_KEYS = 20_000
 
 
