@@ -9,13 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar.llm.bpe import bpe_digests
+from lakestar.llm.centroids import cluster
 from lakestar.llm.common import read_table
 from lakestar.llm.decontaminate import benchmark_hits
 from lakestar.llm.exact_dedup import exact_duplicates
 from lakestar.llm.jaccard_join import near_duplicates
 from lakestar.llm.language import identify_languages
 from lakestar.llm.quality import score_quality
+from lakestar.llm.resample import resample
 from lakestar.llm.secret_scan import scan_secrets
+from lakestar.llm.substring_dedup import repeated_words
 from lakestar.llm.token_store import read_tokens, write_tokens
 from lakestar.llm.url_rules import GLOBS, RULES, judge_urls
 from lakestar.llm.wordpiece import token_counts
@@ -190,3 +193,66 @@ FROM u LEFT JOIN best USING (page_id)
 @register("op10_url_filters", _url_oracle())
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read_table(spark, sf_dir, "pages", "page_id", "url"))
+
+
+def _centroid_oracle(k: int = 8, rounds: int = 10) -> str:
+    """Lloyd rounds written out one after the other."""
+    def nearest(r: int) -> str:
+        return f"""a{r} AS MATERIALIZED (SELECT vec_id, v, arg_min(c, d * {k} + c) AS c, min(d) AS d FROM (
+  SELECT vec_id, v, c, list_sum(list_transform(range(1, 65), lambda i: (v[i] - m[i]) * (v[i] - m[i]))) AS d
+  FROM kept, c{r}) GROUP BY vec_id, v)"""
+
+    def moved(r: int) -> str:
+        return f"""c{r + 1} AS MATERIALIZED (SELECT o.c, coalesce(n.m, o.m) AS m FROM c{r} o LEFT JOIN (
+  SELECT c, list(CAST(floor_sum AS BIGINT) ORDER BY i) AS m FROM (
+    SELECT c, i, (s - ((s % n) + n) % n) // n AS floor_sum FROM (
+      SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+        SELECT c, unnest(v) AS x, unnest(range(1, 65)) AS i FROM a{r}) GROUP BY c, i)) GROUP BY c) n ON n.c = o.c)"""
+
+    steps = [nearest(0)]
+    for r in range(rounds):
+        steps += [moved(r), nearest(r + 1)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, v AS m FROM (
+  SELECT sha256('3:' || vec_id) AS h, v FROM kept ORDER BY h LIMIT {k})),
+{", ".join(steps)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (c)
+"""
+
+
+@register("op11_centroid_clustering", _centroid_oracle())
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@register("op12_importance_resampling")
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return resample(documents, read_table(spark, sf_dir, "benchmark", "text"))
+
+
+@register("op13_substring_dedup", r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS t
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)),
+again AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY t ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM again),
+placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words),
+left_over AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS kept
+  FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN left_over USING (doc_id)
+""")
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = repeated_words(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
