@@ -14,6 +14,8 @@ from lakestar.session import scratch_dir
 
 # A table of narrow rows (at most about 50 bytes each) is broadcast up to this counted number of rows.
 BROADCAST_ROWS = 500_000
+# Spark's own setting by which a finished query removes its shuffle files.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -23,10 +25,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared scratch folder: lineage ends there and no executor is needed later."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows as a table in the shared scratch folder: lineage ends there and no executor is needed later.
+
+    The shuffle files behind the table are removed once it is written, so a chain of stored tables holds the
+    shuffles of one of its steps at a time.
+    """
+    spark = df.sparkSession
+    path, before = scratch_dir(spark, label), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def widened(df: DataFrame, fields: str) -> StructType:
