@@ -7,14 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestar.operators.dedup import orderable_columns
+from lakestar.operators.chunks import CHUNK, hot_counts, with_chunks
+from lakestar.operators.dedup import one_per_key, orderable_columns
 from lakestar.operators.joins import HOT_ROWS
 from lakestar.operators.projection import split_null_keys
 from lakestar.operators.scd import HASH, with_hash
 
-CHUNK, BOUNDS = "__chunk", "__bounds"
-# Time bounds that are broadcast at most: hot keys times chunks per key.
-BROADCAST_BOUNDS = 500_000
+OPENS = "opens"
 
 
 def scd2_history(
@@ -34,32 +33,44 @@ def scd2_history(
     time have no place in a history and belong in quarantine (see `split_null_keys`).
 
     Keys with fewer than ``hot_rows`` rows take one shuffle and one sort. Whether there are others
-    is counted first. If so, one aggregate cuts the times of those keys at quantiles into chunks of about
-    ``hot_rows`` rows; windows then work within chunks, and one row per chunk carries the values across
-    their edges. No task holds a hot key, and there is no bound on keys or chunks.
+    is counted first. If so, every key and time is first reduced to its last row, of which map tasks send
+    one each; one aggregate over the hot keys then cuts their times at quantiles into chunks of about
+    ``hot_rows`` rows. Windows work within chunks, and one row per chunk carries the values across their
+    edges. So no task holds a hot key, even if all of its rows share one time, and there is no bound on
+    keys or chunks.
     """
     placed, _ = split_null_keys(changes, [*keys, time])
     prepared = with_hash(placed, tracked)
-    order = [F.col(time).asc(), *(F.col(c).asc() for c in (*tiebreak, HASH))]
-    order += [F.col(c).asc() for c in orderable_columns(prepared, [*keys, time, *tiebreak, HASH])]
-    counts = prepared.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= hot_rows)
-    hot = counts.agg(F.count(F.lit(1)).alias("keys"), F.max("n").alias("most")).first()
-    if not hot["keys"]:
-        rows = _last_of_time(prepared, keys, time, order)
-        rows = rows.filter(~F.col("__prev").eqNullSafe(F.col(HASH)))
-        until = F.lead(time).over(Window.partitionBy(*keys).orderBy(time))
-        return _versions(rows.withColumn("__until", until), prepared.columns, time)
-    chunks = max(2, -(-hot["most"] // hot_rows))
-    cuts = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
-    bounds = prepared.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.percentile_approx(time, cuts, 20 * chunks).alias(BOUNDS))
-    bounds = bounds.filter(F.col("__n") >= hot_rows).select(*keys, F.array_distinct(BOUNDS).alias(BOUNDS))
-    if hot["keys"] * chunks <= BROADCAST_BOUNDS:
-        bounds = F.broadcast(bounds)
-    passed = F.size(F.filter(BOUNDS, lambda bound: bound <= F.col(time)))
-    rows = prepared.join(bounds, list(keys), "left").withColumn(
-        CHUNK, F.when(F.col(BOUNDS).isNull(), 0).otherwise(passed)).drop(BOUNDS)
-    return _stitched(rows, keys, time, order, prepared.columns)
+    rows = _opening(prepared, keys, time, tiebreak, hot_rows)
+    return _versions(rows.filter(F.col(OPENS)), keys, time, prepared.columns)
+
+
+def timeline(
+    prepared: DataFrame, keys: Sequence[str], time: str, tiebreak: Sequence[str] = (), *, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """`scd2_history` of rows with a hash and a complete key and time, with the rows that open no version.
+
+    ``opens`` tells the versions from those; the latter have no validity.
+    """
+    rows = _opening(prepared, keys, time, tiebreak, hot_rows)
+    versions = _versions(rows.filter(F.col(OPENS)), keys, time, prepared.columns).withColumn(OPENS, F.lit(True))
+    repeats = rows.filter(~F.col(OPENS)).select(*prepared.columns, OPENS)
+    return versions.unionByName(repeats.withColumn("is_current", F.lit(False)), allowMissingColumns=True)
+
+
+def _opening(
+    prepared: DataFrame, keys: Sequence[str], time: str, tiebreak: Sequence[str], hot_rows: int
+) -> DataFrame:
+    """The last row of each key and time, with ``opens`` and, of hot keys, a chunk and what follows it."""
+    columns = prepared.columns
+    last = [*tiebreak, HASH, *orderable_columns(prepared, [*keys, time, *tiebreak, HASH])]
+    hot, n_hot, most = hot_counts(prepared, keys, hot_rows)
+    if not n_hot:
+        rows = _last_of_time(prepared, keys, time, [F.col(time).asc(), *(F.col(c).asc() for c in last)])
+        return rows.withColumn(OPENS, ~F.col("__prev").eqNullSafe(F.col(HASH)))
+    rows = one_per_key(prepared, [*keys, time], [F.col(c).desc() for c in last])
+    rows = with_chunks(rows, keys, time, hot, n_hot, most, hot_rows)
+    return _stitched(rows, keys, time, columns)
 
 
 def _last_of_time(
@@ -74,12 +85,10 @@ def _last_of_time(
     return rows.withColumn("__prev", F.lag(HASH).over(Window.partitionBy(*parts).orderBy(time)))
 
 
-def _stitched(
-    rows: DataFrame, keys: Sequence[str], time: str, order: Sequence[Column], columns: Sequence[str]
-) -> DataFrame:
-    """History of rows that carry a chunk: windows inside chunks, then one row per chunk across."""
+def _stitched(rows: DataFrame, keys: Sequence[str], time: str, columns: Sequence[str]) -> DataFrame:
+    """Rows that carry a chunk and are unique by key and time: windows inside, one row per chunk across."""
     parts = [*keys, CHUNK]
-    rows = _last_of_time(rows, parts, time, order)
+    rows = rows.withColumn("__prev", F.lag(HASH).over(Window.partitionBy(*parts).orderBy(time)))
     inner = F.when(F.col("__prev").isNotNull() & (F.col("__prev") != F.col(HASH)), F.col(time))
     edges = rows.groupBy(*parts).agg(
         F.min(time).alias("__first"), F.min_by(HASH, time).alias("__opening"),
@@ -87,17 +96,23 @@ def _stitched(
     across = Window.partitionBy(*keys).orderBy(CHUNK)
     edges = edges.withColumn("__edge", F.lag("__closing").over(across))
     changed = F.when(F.col("__edge").eqNullSafe(F.col("__opening")), F.col("__inner")).otherwise(F.col("__first"))
-    following = across.rowsBetween(1, Window.unboundedFollowing)
-    opens = F.first("__change", ignorenulls=True).over(following)
-    edges = edges.withColumn("__change", changed).withColumn("__opens", opens).select(*parts, "__edge", "__opens")
+    # The next change after a chunk is the last one met when its key is walked backwards.
+    following = Window.partitionBy(*keys).orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.last("__change", ignorenulls=True).over(following)
+    edges = edges.withColumn("__change", changed).withColumn("__following", opens).select(*parts, "__edge", "__following")
     rows = rows.join(edges, parts, "left")
-    rows = rows.filter(~F.coalesce("__prev", "__edge").eqNullSafe(F.col(HASH)))
-    inside = F.lead(time).over(Window.partitionBy(*parts).orderBy(time))
-    return _versions(rows.withColumn("__until", F.coalesce(inside, "__opens")), columns, time)
+    rows = rows.withColumn(OPENS, ~F.coalesce("__prev", "__edge").eqNullSafe(F.col(HASH)))
+    return rows.select(*columns, CHUNK, "__following", OPENS)
 
 
-def _versions(rows: DataFrame, columns: Sequence[str], time: str) -> DataFrame:
-    return rows.select(
+def _versions(opening: DataFrame, keys: Sequence[str], time: str, columns: Sequence[str]) -> DataFrame:
+    """Validity of rows that each open a version."""
+    if CHUNK in opening.columns:
+        inside = F.lead(time).over(Window.partitionBy(*keys, CHUNK).orderBy(time))
+        until = F.coalesce(inside, "__following")
+    else:
+        until = F.lead(time).over(Window.partitionBy(*keys).orderBy(time))
+    return opening.withColumn("__until", until).select(
         *columns,
         F.col("__until").isNull().alias("is_current"),
         F.col(time).alias("valid_from"),

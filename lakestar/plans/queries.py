@@ -17,16 +17,17 @@ from lakestar.contracts import Contract, declare_table
 from lakestar.functions.dates import calendar_bounds, date_precision, parse_partial_date
 from lakestar.functions.hashing import row_hash, surrogate_key, version_key
 from lakestar.operators import (
-    dedup, dimensions, facts, history, projection, quality, rankings, scd,
+    asof, dedup, dimensions, facts, history, projection, quality, rankings, scd,
 )
 from lakestar.plans.extract import run_extract
 from lakestar.plans.fixture_data import LINK, cents, moment, pages, table
 from lakestar.plans.gold import analysis, run_export, run_gold
 from lakestar.plans.layout import Layout
-from lakestar.plans.silver import run_silver
+from lakestar.plans.silver import merge_landing, run_silver
 from lakestar.session import scratch_dir
-from lakestar.sources import landing, tables, writers
+from lakestar.sources import landing, tables, timelines, writers
 from lakestar.sources import pages as nested
+from lakestar.sources.ledger import ledger_read
 from lakestar.streaming.pickup import stream_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -396,6 +397,108 @@ def scd2_history_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
     return versions.select("o_custkey", "o_orderpriority", "valid_from", "valid_to", "is_current")
 
 
+@query(ORACLES["scd2_history"])
+def late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The same history merged from four batches, each of which reaches into the past of the others."""
+    path = scratch_dir(spark, "timeline")
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey")
+    for part in (2, 0, 3, 1):
+        batch = orders.filter(F.col("o_orderkey") % 4 == part)
+        timelines.merge_changes(batch, path, ["o_custkey"], ["o_orderpriority"], "o_orderdate", ["o_orderkey"])
+    stored = timelines.timeline_read(spark, path)
+    return stored.select("o_custkey", "o_orderpriority", "valid_from", "valid_to", "is_current")
+
+
+@query(f"""
+WITH s AS (SELECT c_custkey, CAST(round(c_acctbal * 100) AS BIGINT) AS balance, c_nationkey AS v, c_mktsegment AS segment
+           FROM customer)
+SELECT c_custkey, balance, v, CAST(NULL AS VARCHAR) AS segment, v >= 10 AS is_current, TIMESTAMP '{T1}' AS valid_from,
+       CASE WHEN v < 10 THEN TIMESTAMP '{T2}' END AS valid_to FROM s
+UNION ALL SELECT c_custkey, balance, v, segment, v >= 5, TIMESTAMP '{T2}', CASE WHEN v < 5 THEN TIMESTAMP '2026-01-03 00:00:00' END
+FROM s WHERE v < 10
+UNION ALL SELECT c_custkey, balance + 1, v, segment, TRUE, TIMESTAMP '2026-01-03 00:00:00', NULL FROM s WHERE v < 5
+""")
+def scd2_schema_growth(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored type 2 table whose second stage brings a new column, with values for ten nations only.
+
+    One column has the name that the table's own folders carry.
+    """
+    path = scratch_dir(spark, "growth")
+    customers = table(spark, sf, "customer").select(
+        "c_custkey", cents("c_acctbal").alias("balance"), F.col("c_nationkey").alias("v"),
+        F.when(F.col("c_nationkey") < 10, F.col("c_mktsegment")).alias("segment"))
+    changed = customers.withColumn("balance", F.col("balance") + F.when(F.col("v") < 5, 1).otherwise(0))
+    for rows, as_of in ((customers.drop("segment"), DAY1), (customers, DAY2), (changed, DAY3)):
+        tracked = [c for c in rows.columns if c != "c_custkey"]
+        tables.scd2_merge(scd.with_hash(rows, tracked), path, ["c_custkey"], as_of, tracked=tracked)
+    stored = tables.table_read(spark, path)
+    return stored.select(
+        "c_custkey", "balance", "v", "segment", "is_current",
+        F.col("valid_from").cast("timestamp_ntz").alias("valid_from"),
+        F.col("valid_to").cast("timestamp_ntz").alias("valid_to"))
+
+
+# --- point in time ----------------------------------------------------------------------------
+
+# The priorities of a customer's odd orders as versions, of which none is valid for more than 400 days.
+PRIORITY_VERSIONS = """
+h AS (SELECT o_custkey, o_orderpriority AS priority, o_orderdate AS valid_from,
+        lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS next_from
+      FROM (SELECT *, lag(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS prev FROM (
+        SELECT * FROM orders WHERE o_orderkey % 2 = 1 QUALIFY row_number() OVER
+          (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1)) WHERE prev IS DISTINCT FROM o_orderpriority),
+v AS (SELECT *, least(coalesce(next_from, valid_from + INTERVAL 400 DAY), valid_from + INTERVAL 400 DAY) AS valid_to FROM h)
+"""
+
+
+def _priority_versions(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").filter(F.col("o_orderkey") % 2 == 1)
+    orders = orders.select("o_custkey", F.col("o_orderpriority").alias("priority"), "o_orderdate", "o_orderkey")
+    versions = history.scd2_history(orders, ["o_custkey"], ["priority"], "o_orderdate", ["o_orderkey"])
+    latest = F.col("valid_from") + F.expr("interval 400 days")
+    return versions.withColumn("valid_to", F.least(F.coalesce("valid_to", latest), latest))
+
+
+@query(f"""
+WITH {PRIORITY_VERSIONS}
+SELECT o_orderkey, o.o_custkey, CASE WHEN o_orderdate < valid_to THEN priority END AS priority,
+       CASE WHEN o_orderdate < valid_to THEN valid_from END AS version_from
+FROM orders o ASOF LEFT JOIN v ON o.o_custkey = v.o_custkey AND o.o_orderdate >= v.valid_from
+""")
+def asof_join(spark: SparkSession, sf: str, hot_rows: int = 2_000_000) -> DataFrame:
+    """Every order with the priority that was valid for its customer on its day."""
+    versions = _priority_versions(spark, sf).withColumn("version_from", F.col("valid_from"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    found = asof.asof_join(
+        orders, versions, ["o_custkey"], "o_orderdate", ["priority", "version_from"], hot_rows=hot_rows)
+    return found.drop("o_orderdate")
+
+
+@query(ORACLES["asof_join"])
+def asof_join_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with most customers over the limit that cuts them into chunks of time."""
+    return asof_join(spark, sf, hot_rows=8)
+
+
+@query(f"""
+WITH {PRIORITY_VERSIONS}
+SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS INTEGER) AS quantity,
+       CASE WHEN l_shipdate < valid_to THEN sha256(v.o_custkey || 'src') END AS customer_key,
+       CASE WHEN l_shipdate < valid_to THEN sha256(sha256(v.o_custkey || 'src') || chr(31) ||
+         strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) END AS customer_key_version, 1 AS play_count
+FROM (SELECT l.*, o_custkey FROM lineitem l JOIN orders USING (l_orderkey))
+     l ASOF LEFT JOIN v ON l.o_custkey = v.o_custkey AND l.l_shipdate >= v.valid_from
+""".replace("JOIN orders USING (l_orderkey)", "JOIN orders ON o_orderkey = l_orderkey"))
+def asof_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items with the version of their customer that was valid on the day they were shipped."""
+    versions = _priority_versions(spark, sf).withColumn("customer_key", surrogate_key("o_custkey", source="src"))
+    lines = table(spark, sf, "lineitem").withColumn("quantity", F.col("l_quantity").cast("int"))
+    lines = lines.join(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return facts.asof_fact(
+        lines, [facts.Lookup(versions, "o_custkey", "customer_key")], "l_shipdate", ["quantity"], {"play_count": 1},
+        keep=["l_orderkey", "l_linenumber", "l_partkey"])
+
+
 # --- star schema ------------------------------------------------------------------------------
 
 
@@ -739,6 +842,31 @@ def table_read(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+@query("""
+SELECT layout, state, found, (SELECT count(*) FROM supplier) AS suppliers
+FROM (VALUES ('versioned'), ('type 2'), ('plain')) l(layout),
+     (VALUES ('missing', FALSE), ('torn', FALSE), ('complete', TRUE)) s(state, found)
+""")
+def table_exists(spark: SparkSession, sf: str) -> DataFrame:
+    """A table is found once a write of it is complete; the files of a torn write are none."""
+    suppliers = _hashed(table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), "s_nationkey")
+    folder, found = scratch_dir(spark, "exists"), []
+    writes = {
+        "versioned": ("v=1", tables.table_overwrite), "plain": ("_unfinished", tables.table_append),
+        "type 2": ("current/v=1", lambda df, path: tables.scd2_merge(df, path, ["s_suppkey"], DAY1))}
+    for layout, (torn, write) in writes.items():
+        path = f"{folder}/{layout.replace(' ', '-')}"
+        states = [("missing", tables.table_exists(spark, path))]
+        suppliers.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/{torn}")
+        states.append(("torn", tables.table_exists(spark, path)))
+        write(suppliers, path)
+        states.append(("complete", tables.table_exists(spark, path)))
+        known = [F.struct(F.lit(s).alias("state"), F.lit(f).alias("found")) for s, f in states]
+        stored = tables.table_read(spark, path).agg(F.count(F.lit(1)).alias("suppliers"))
+        found.append(stored.select(F.lit(layout).alias("layout"), F.inline(F.array(*known)), "suppliers"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("SELECT event_id, user_id, event_type FROM events")
 def table_append(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "append")
@@ -1080,6 +1208,41 @@ def _stream_landing(spark: SparkSession, sf: str) -> DataFrame:
         F.date_trunc("day", "valid_to").cast("timestamp_ntz").alias("valid_to"))
 
 
+@query(f"""
+WITH s AS (SELECT c_custkey, c_nationkey, CAST(round(c_acctbal * 100) AS BIGINT) AS balance FROM customer)
+SELECT c_custkey, balance, c_nationkey >= 10 AS is_current, DATE '2026-01-01' AS valid_from_day, 'csv' AS read_as, 1 AS merged_on FROM s
+UNION ALL SELECT c_custkey, balance + 1, c_nationkey >= 5, DATE '2026-01-02', 'json', 2 FROM s WHERE c_nationkey < 10
+UNION ALL SELECT c_custkey, balance + 2, TRUE, DATE '2026-01-03', 'parquet', 3 FROM s WHERE c_nationkey < 5
+""")
+def file_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Three extracts in three formats, the files of the earlier ones gone when the next run comes.
+
+    Every version names the run whose ledger entry holds the file that it was read from.
+    """
+    layout = Layout(scratch_dir(spark, "lake"))
+    contract = Contract(
+        "customer", "c_custkey bigint, balance bigint, extraction_date timestamp", keys=("c_custkey",))
+    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey", cents("c_acctbal").alias("balance"))
+    added = F.when(F.col("c_nationkey") < 5, 1).otherwise(0)
+    extracts = (
+        (customers, "csv"), (customers.withColumn("balance", F.col("balance") + (F.col("c_nationkey") < 10).cast("int")), "json"),
+        (customers.withColumn("balance", F.col("balance") + (F.col("c_nationkey") < 10).cast("int") + added), "parquet"))
+    for (rows, fmt), as_of in zip(extracts, (DAY1, DAY2, DAY3)):
+        landed = rows.select("c_custkey", "balance", F.lit(as_of.isoformat()).alias("extraction_date"))
+        writer = landed.write.mode("overwrite").format(fmt)
+        writer.options(**(landing.CSV_OPTIONS if fmt == "csv" else {})).save(f"{layout.staged}/customers/{as_of.day}")
+        merge_landing(spark, f"{layout.staged}/customers", contract, layout, "customers", as_of)
+        # What the ledger knows is not opened again: the run after this one would fail on an empty text.
+        spark.createDataFrame([("",)], "value string").write.mode("overwrite").text(f"{layout.staged}/customers/{as_of.day}")
+    name = F.regexp_extract("path", "[^/]+$", 0).alias("file")
+    runs = ledger_read(spark, f"{layout.ledger}/customers").select(name, F.dayofmonth("merged_at").alias("merged_on"))
+    stored = tables.table_read(spark, f"{layout.silver}/customers").withColumn(
+        "file", F.regexp_extract("source_file", "[^/]+$", 0))
+    return stored.join(runs, "file").select(
+        "c_custkey", "balance", "is_current", F.col("valid_from").cast("date").alias("valid_from_day"),
+        F.regexp_extract("file", "[a-z]+$", 0).alias("read_as"), "merged_on")
+
+
 @query("""
 SELECT l_suppkey, max(l_shipdate) AS extraction_date, count(*) AS seen,
        (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') AS rejected FROM lineitem

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -79,7 +79,7 @@ def _reader(spark: SparkSession, fmt: str, skip_unreadable: bool) -> DataFrameRe
 
 
 def read_csv_contract(
-    spark: SparkSession, path: str, contract: Contract, *, multi_line: bool = True,
+    spark: SparkSession, path: str | list[str], contract: Contract, *, multi_line: bool = True,
     skip_unreadable: bool = False, corrupt: bool = False,
 ) -> DataFrame:
     """CSV with a header, every column read as text under its source name.
@@ -95,7 +95,7 @@ def read_csv_contract(
 
 
 def read_json_contract(
-    spark: SparkSession, path: str, contract: Contract, *, skip_unreadable: bool = False,
+    spark: SparkSession, path: str | list[str], contract: Contract, *, skip_unreadable: bool = False,
     corrupt: bool = False,
 ) -> DataFrame:
     """JSON lines, every declared field read as text; source and canonical names are both accepted."""
@@ -110,10 +110,11 @@ def read_json_contract(
 
 
 def read_parquet_contract(
-    spark: SparkSession, path: str, contract: Contract, *, skip_unreadable: bool = False
+    spark: SparkSession, path: str | list[str], contract: Contract, *, skip_unreadable: bool = False
 ) -> DataFrame:
     """Parquet with the files' own types; the contract is enforced afterwards."""
-    return with_source_file(_reader(spark, "parquet", skip_unreadable).parquet(path))
+    paths = [path] if isinstance(path, str) else path
+    return with_source_file(_reader(spark, "parquet", skip_unreadable).parquet(*paths))
 
 
 def _with_corrupt(schema: StructType, corrupt: bool) -> StructType:
@@ -181,10 +182,15 @@ def checked_landing(
     spark: SparkSession, folder: str, contract: Contract, formats: Sequence[str] = ()
 ) -> DataFrame:
     """`landing_union` that keeps every record and tells what is wrong with it, see `with_problem`."""
+    return checked_files(spark, {fmt: [folder] for fmt in formats or _formats_of(spark, folder)}, contract)
+
+
+def checked_files(spark: SparkSession, paths: Mapping[str, list[str]], contract: Contract) -> DataFrame:
+    """`checked_landing` of the named files or folders of each format."""
     frames = []
-    for fmt in formats or _formats_of(spark, folder):
+    for fmt, some in paths.items():
         options = {} if fmt == "parquet" else {"corrupt": True}
-        frames.append(with_problem(READERS[fmt](spark, folder, contract, **options), contract))
+        frames.append(with_problem(READERS[fmt](spark, some, contract, **options), contract))
     return union_by_name(*frames)
 
 

@@ -20,11 +20,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import (
+    ByteType, DataType, DoubleType, FloatType, IntegerType, LongType, ShortType, StructField, StructType,
+)
 
 from lakestar.operators.projection import current_rows
 from lakestar.operators.quality import observe_counts
-from lakestar.operators.scd import changed_or_new, expire, insert_new_only, scd2_initial
+from lakestar.operators.scd import changed_or_new, expire, insert_new_only, scd2_initial, with_hash
 from lakestar.sources.files import delete_folder, matching_paths
 from lakestar.sources.landing import SUCCESS
 
@@ -32,7 +34,7 @@ from lakestar.sources.landing import SUCCESS
 KEEP = 2
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def versions_of(spark: SparkSession, path: str) -> list[int]:
     """Complete versions below a folder, oldest first."""
     return sorted(int(p.getParent().getName()[2:]) for p in matching_paths(spark, f"{path}/v=*/{SUCCESS}"))
 
@@ -49,7 +51,7 @@ def _is_plain(spark: SparkSession, path: str) -> bool:
 
 def latest_version(spark: SparkSession, path: str) -> int:
     """The newest complete version of a versioned folder; 0 when there is none."""
-    return max(_versions(spark, path), default=0)
+    return max(versions_of(spark, path), default=0)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -110,14 +112,50 @@ def replace_partition(df: DataFrame, path: str, partition: str, values: Sequence
 
 
 def _read_scd2(spark: SparkSession, path: str, version: int) -> DataFrame:
+    """Current versions and history, read under the schema of the current ones: what it lacks is null."""
     current = spark.read.parquet(f"{path}/current/v={version}")
     if version == 1:
         return current
+    if "v" in (c.lower() for c in current.columns):
+        # A data column of the partition's name: the folders are read one by one, without partition columns.
+        parts = [f"{path}/history/v={n}" for n in versions_of(spark, f"{path}/history") if n <= version]
+        return current.unionByName(spark.read.schema(current.schema).parquet(*parts))
     schema = StructType([*current.schema.fields, StructField("v", IntegerType())])
     history = spark.read.schema(schema).parquet(f"{path}/history")
     return current.unionByName(history.filter(F.col("v") <= version).drop("v"))
 
 
+# Types that hold every value of those named with them.
+WIDER: dict[type[DataType], tuple[type[DataType], ...]] = {
+    ShortType: (ByteType,), IntegerType: (ByteType, ShortType), LongType: (ByteType, ShortType, IntegerType),
+    DoubleType: (FloatType, ByteType, ShortType, IntegerType),
+}
+
+
+def grown_columns(stored: StructType, staged: StructType) -> list[StructField]:
+    """The staged columns that a stored table lacks, by names that differ in more than case.
+
+    A column of both whose staged type is neither the stored one nor fits into it fails: values would be
+    changed or lost.
+    """
+    have = {f.name.lower(): f for f in stored.fields}
+    for field in staged.fields:
+        old = have.get(field.name.lower())
+        if old is None or old.dataType == field.dataType or isinstance(field.dataType, WIDER.get(type(old.dataType), ())):
+            continue
+        if old.dataType.simpleString() != field.dataType.simpleString():  # apart from nullability inside
+            raise TypeError(f"column {field.name}: staged as {field.dataType.simpleString()}, "
+                            f"stored as {old.dataType.simpleString()}")
+    return [f for f in staged.fields if f.name.lower() not in have]
+
+
+def with_columns_of(df: DataFrame, schema: StructType) -> DataFrame:
+    """The frame in the types and the order of a schema; columns that it lacks are null."""
+    have = {c.lower() for c in df.columns}
+    return df.select(*(
+        (F.col(f.name) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields))
+
+
 def scd2_merge(
     staged: DataFrame,
     path: str,
@@ -126,6 +164,7 @@ def scd2_merge(
     event_time: str | None = None,
     columns: Sequence[str] | None = None,
     keep: int = KEEP,
+    tracked: Sequence[str] | None = None,
 ) -> dict[str, int]:
     """Apply a stage (one row per key, with hash) to a stored type 2 table.
 
@@ -135,6 +174,13 @@ def scd2_merge(
     column order of a new table. Returns the counts of inserted and expired versions, taken during
     the writes. ``as_of`` has to lie after the start of every version that it closes; otherwise the
     merge fails and publishes nothing.
+
+    A stage may bring columns that the table lacks. The published version then has them after the stored
+    ones, and older versions read null. A new column enters the stage's hash, so that by itself every row
+    would count as changed; with ``tracked``, the columns of the hash in their order, the stored side is
+    hashed anew and only rows with a value in a new column do. Stored columns that the stage lacks are null in
+    the versions it opens; if they are in ``tracked``, the stage has to bring them. A type that does not fit
+    the stored one fails and publishes nothing.
     """
     spark = staged.sparkSession
     version = latest_version(spark, f"{path}/current")
@@ -143,6 +189,12 @@ def scd2_merge(
         inserted = _observed_write(first.select(*(columns or first.columns)), f"{path}/current/v=1")
         return {"inserted": inserted, "expired": 0}
     current = spark.read.parquet(f"{path}/current/v={version}")
+    added = grown_columns(current.schema, staged.schema)
+    schema = StructType([*current.schema.fields, *added])
+    if added:
+        current = with_columns_of(current, schema)
+        if tracked is not None:
+            current = with_hash(current, tracked).select(*schema.names)
     following = version + 1
     delta_path = f"{path}/delta/v={following}"
     delta = changed_or_new(current_rows(current), staged, keys, event_time)
@@ -152,14 +204,11 @@ def scd2_merge(
     delta = spark.read.schema(delta.schema).parquet(delta_path)
     replaced = current.join(delta.select(*keys), list(keys), "left_semi")
     expired = _observed_write(
-        expire(replaced, as_of).select(*current.columns), f"{path}/history/v={following}"
+        expire(replaced, as_of).select(*schema.names), f"{path}/history/v={following}"
     )
     kept = current.join(delta.select(*keys), list(keys), "left_anti")
-    opened = scd2_initial(delta, as_of).select(
-        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in current.schema.fields)
-    )
-    following_rows = kept.unionByName(opened).select(*current.columns)
-    following_rows.write.mode("overwrite").parquet(f"{path}/current/v={following}")
+    opened = with_columns_of(scd2_initial(delta, as_of), schema)
+    kept.unionByName(opened).select(*schema.names).write.mode("overwrite").parquet(f"{path}/current/v={following}")
     drop_old_versions(spark, f"{path}/current", keep)
     drop_old_versions(spark, f"{path}/delta", keep)
     return {"inserted": inserted, "expired": expired}
@@ -173,7 +222,7 @@ def _observed_write(df: DataFrame, path: str) -> int:
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = KEEP) -> int:
     """Delete all but the ``keep`` newest complete versions (0 keeps all); return how many went."""
-    old = _versions(spark, path)[:-keep] if keep else []
+    old = versions_of(spark, path)[:-keep] if keep else []
     for version in old:
         delete_folder(spark, f"{path}/v={version}")
     return len(old)

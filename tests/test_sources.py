@@ -311,3 +311,45 @@ def test_a_stream_over_an_empty_folder_does_nothing(spark, tmp_path):
     base = str(tmp_path)
     found = stream_landing(spark, f"{base}/in", STAGED_ARTISTS, f"{base}/t", f"{base}/ck", T1)
     assert found == {"inserted": 0, "expired": 0, "rejected": 0}
+
+
+# --- schema growth
+
+
+def _growing(spark, path, rows, schema, as_of, tracked):
+    staged = with_hash(spark.createDataFrame(rows, schema), tracked)
+    return tables.scd2_merge(staged, path, ["id"], as_of, tracked=tracked)
+
+
+def test_new_columns_are_kept_and_old_versions_have_null(spark, tmp_path):
+    path = str(tmp_path / "t")
+    _growing(spark, path, [("a", 1), ("b", 2), ("c", 3)], "id string, v int", T0, ["v"])
+    second = _growing(
+        spark, path, [("a", 1, None), ("b", 2, "w")], "id string, v int, w string", T1, ["v", "w"])
+    assert second == {"inserted": 1, "expired": 1}  # only the row with a value in the new column
+    assert _growing(spark, path, [("a", 1, None), ("b", 2, "w")], "id string, v int, w string", T2, ["v", "w"]) == {
+        "inserted": 0, "expired": 0}
+    assert _growing(spark, path, [("d", "w", 7)], "id string, w string, v int", T2, ["v", "w"])["inserted"] == 1
+    stored = tables.table_read(spark, path)
+    assert stored.columns == ["id", "v", "hash_key", "is_current", "valid_from", "valid_to", "w"]
+    assert content(stored, "id", "v", "w", "is_current") == [
+        ("a", 1, None, True), ("b", 2, "w", True), ("b", 2, None, False), ("c", 3, None, True), ("d", 7, "w", True)]
+
+
+def test_a_column_that_a_stage_lacks_is_null_in_its_versions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    _growing(spark, path, [("a", "x", 1)], "id string, name string, extra int", T0, ["name"])
+    _growing(spark, path, [("a", "y")], "id string, NAME string", T1, ["NAME"])
+    assert content(tables.table_read(spark, path), "id", "name", "extra", "is_current") == [
+        ("a", "x", 1, False), ("a", "y", None, True)]
+    assert "NAME" not in tables.table_read(spark, path).columns
+
+
+def test_changed_types_fail_and_publish_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    _growing(spark, path, [("a", 1)], "id string, n bigint", T0, ["n"])
+    assert _growing(spark, path, [("a", 2)], "id string, n int", T1, ["n"])["expired"] == 1  # fits
+    with pytest.raises(TypeError, match="column n: staged as string, stored as bigint"):
+        _growing(spark, path, [("a", "3")], "id string, n string", T2, ["n"])
+    assert content(current_rows(tables.table_read(spark, path)), "id", "n") == [("a", 2)]
+    assert dict(tables.table_read(spark, path).dtypes)["n"] == "bigint"
