@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 from tokenizers import Tokenizer, normalizers
 
-# Words whose ids a task keeps (about 200 bytes each); when they are more, it starts anew.
+# Parts whose ids a task keeps (about 200 bytes each); when they are more, the older half goes.
 KEPT_WORDS = 500_000
-# Words of one call to the library, whose results are large.
+# Parts of one call to the library, whose results are large, and of a line in it.
 CALL_WORDS = 20_000
+LINE_WORDS = 200
+# Fixed values of the tokenizer: the ending of a word's last token, the beginning of its special tokens, and
+# for ASCII text the pieces between which it does not merge.
+WORD_END = "</w>"
+SPECIAL = "<|"
+PIECES = re.compile(r"'[sStTmMdD]|'[rR][eE]|'[vV][eE]|'[lL][lL]|[a-zA-Z]+|[0-9]|[^\t-\r a-zA-Z0-9]+")
 # Characters of texts whose new words are encoded in one call.
 GROUP_CHARS = 2_000_000
 
@@ -34,10 +43,13 @@ class WordEncoder:
 
     The tokenizer drops white space and never merges across it, so the ids of a text are those of its
     parts between blanks and line ends, one after the other; each distinct part is encoded by the library
-    once. Parts of ASCII letters are lower-cased here, which is all that the normaliser does to them.
+    once. ASCII parts are lower-cased here, which is all that the normaliser does to them, and encoded many to
+    a line, whose ids are parted by the tokens that end a word.
     """
 
     def __init__(self, path: str):
+        # Tasks share the cores already.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.whole = Tokenizer.from_file(path)
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
@@ -45,28 +57,50 @@ class WordEncoder:
             raise ValueError("ids need more than 16 bits")
         self.whole.no_truncation(), self.whole.no_padding()
         self.plain.no_truncation(), self.plain.no_padding()
+        self.ends = np.zeros(1 << 16, dtype=bool)
+        self.ends[[i for token, i in self.whole.get_vocab().items() if token.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, parts: set[str]) -> None:
-        special = "<|"
-        plain = [p for p in parts if p.isascii() and special not in p]
-        other = [p for p in parts if not p.isascii() or special in p]
-        for tokenizer, some, given in (
-                (self.plain, plain, [p.lower() for p in plain]), (self.whole, other, other)):
-            for at in range(0, len(some), CALL_WORDS):
-                encoded = tokenizer.encode_batch_fast(given[at : at + CALL_WORDS], add_special_tokens=False)
-                self.known.update(zip(some[at:], (np.array(e.ids, dtype="<u2").tobytes() for e in encoded)))
+    def _learn(self, parts: set[str]) -> dict[str, bytes]:
+        """The ids of new parts, which are kept."""
+        plain = [p for p in parts if p.isascii() and SPECIAL not in p]
+        other = [p for p in parts if not p.isascii() or SPECIAL in p]
+        new: dict[str, bytes] = {}
+        for at in range(0, len(plain), CALL_WORDS):
+            some = plain[at : at + CALL_WORDS]
+            lines = [" ".join(some[i : i + LINE_WORDS]).lower() for i in range(0, len(some), LINE_WORDS)]
+            encoded = self.plain.encode_batch_fast(lines, add_special_tokens=False)
+            ids = np.array([i for e in encoded for i in e.ids], dtype="<u2")
+            # Each piece ends with the one token of it that ends a word, so counts of pieces part the ids.
+            ends = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1]) * 2
+            last = np.cumsum([len(PIECES.findall(p)) for p in some])
+            if last[-1] != len(ends) - 1:
+                raise ValueError("a piece has no end of its own")
+            data, edges = ids.tobytes(), [0, *ends[last].tolist()]
+            new.update(zip(some, [data[low:high] for low, high in zip(edges, edges[1:])]))
+        for at in range(0, len(other), CALL_WORDS):
+            some = other[at : at + CALL_WORDS]
+            encoded = self.whole.encode_batch_fast(some, add_special_tokens=False)
+            new.update(zip(some, (np.array(e.ids, dtype="<u2").tobytes() for e in encoded)))
+        if len(self.known) + len(new) > KEPT_WORDS:
+            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+        self.known.update(new)
+        return new
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text in turn; none for null."""
         for group in groups_of_text(texts):
             split = [t.replace("\n", " ").split(" ") for t in group]
-            new = {p for parts in split for p in parts}.difference(self.known)
-            if new:
-                if len(self.known) + len(new) > KEPT_WORDS:
-                    new, self.known = {p for parts in split for p in parts}, {}
-                self._learn(new)
-            yield from (b"".join(map(self.known.__getitem__, parts)) for parts in split)
+            found = [list(map(self.known.get, parts)) for parts in split]
+            missing: set[str] = set()
+            for parts, ids in zip(split, found):
+                if None in ids:
+                    missing.update(p for p, i in zip(parts, ids) if i is None)
+            new = self._learn(missing) if missing else {}
+            for parts, ids in zip(split, found):
+                if None in ids:
+                    ids = [new[p] if i is None else i for p, i in zip(parts, ids)]
+                yield b"".join(ids)
 
 
 @lru_cache(maxsize=1)
