@@ -17,7 +17,7 @@ from lakestar.contracts import Contract, declare_table
 from lakestar.functions.dates import calendar_bounds, date_precision, parse_partial_date
 from lakestar.functions.hashing import row_hash, surrogate_key, version_key
 from lakestar.operators import (
-    asof, dedup, dimensions, facts, history, projection, quality, rankings, scd,
+    asof, bridge, dedup, dimensions, facts, history, projection, quality, rankings, reconcile, scd,
 )
 from lakestar.plans.extract import run_extract
 from lakestar.plans.fixture_data import LINK, cents, moment, pages, table
@@ -28,6 +28,7 @@ from lakestar.session import scratch_dir
 from lakestar.sources import landing, tables, timelines, writers
 from lakestar.sources import pages as nested
 from lakestar.sources.ledger import ledger_read
+from lakestar.sources.split_csv import read_csv_split as split_reader
 from lakestar.streaming.pickup import stream_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -644,6 +645,29 @@ def reconcile_counts(spark: SparkSession, sf: str) -> DataFrame:
     return quality.reconcile_counts(documents, landing.read_csv_contract(spark, path, DOCUMENT))
 
 
+@query("""
+SELECT c_custkey, 'changed' AS kind, 'balance' AS column_name, CAST(balance AS VARCHAR) AS original,
+       CAST(balance + 1 AS VARCHAR) AS saved
+FROM (SELECT c_custkey, c_nationkey, CAST(round(c_acctbal * 100) AS BIGINT) AS balance FROM customer) WHERE c_nationkey = 3
+UNION ALL SELECT c_custkey, 'changed', 'c_name', c_name, NULL FROM customer WHERE c_nationkey = 4
+UNION ALL SELECT c_custkey, 'missing', NULL, NULL, NULL FROM customer WHERE c_nationkey = 7
+UNION ALL SELECT c_custkey, 'added', NULL, NULL, NULL FROM customer WHERE c_nationkey = 9
+""")
+def reconcile_content(spark: SparkSession, sf: str) -> DataFrame:
+    """Checksums taken while customers are written against a copy with changed, lost and repeated rows."""
+    path = scratch_dir(spark, "content")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", cents("c_acctbal").alias("balance"), "c_nationkey")
+    taken, observed = reconcile.observed_checksums(customers, ["c_custkey"])
+    observed.write.parquet(path)
+    copy = spark.read.parquet(path).filter("c_nationkey <> 7").withColumns({
+        "balance": F.col("balance") + (F.col("c_nationkey") == 3).cast("int"),
+        "c_name": F.when(F.col("c_nationkey") != 4, F.col("c_name"))})
+    copy = copy.unionByName(copy.filter("c_nationkey = 9"))
+    buckets = reconcile.differing_buckets(
+        reconcile.checksums_of(spark, taken), reconcile.bucket_checksums(copy, ["c_custkey"]))
+    return reconcile.differing_cells(customers, copy, ["c_custkey"], buckets)
+
+
 @query("SELECT count(*) AS rows, count(DISTINCT lang) AS languages FROM documents")
 def observe_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Counts taken while the table is written, compared through the stored copy."""
@@ -728,6 +752,15 @@ def read_csv_contract(spark: SparkSession, sf: str) -> DataFrame:
     return landing.read_landing(spark, path, PAGE, "csv").drop("source_file")
 
 
+@query("SELECT page_id, url, html FROM pages")
+def read_csv_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same pages in one CSV file, read by ranges: quoted newlines may lie anywhere."""
+    path = scratch_dir(spark, "csv")
+    pages_in = table(spark, sf, "pages").select(*PAGE.columns)
+    pages_in.coalesce(1).write.options(**landing.CSV_OPTIONS).csv(path)
+    return projection.enforce_contract(split_reader(spark, path, PAGE), PAGE)
+
+
 @query("SELECT doc_id, text, lang, source FROM documents")
 def read_landing(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "json")
@@ -974,6 +1007,40 @@ def extract_summary(spark: SparkSession, sf: str) -> DataFrame:
     return nested.entity_counts(nested.flatten_items(pages(spark, sf)))
 
 
+BRIDGE = """b AS (SELECT track_id, artist_id, row_number() OVER (PARTITION BY track_id ORDER BY artist_id) - 1 AS position,
+  count(*) OVER (PARTITION BY track_id) AS n_members FROM (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS track_id,
+    CAST(unnest([l_suppkey, l_suppkey + 1]) AS VARCHAR) AS artist_id FROM lineitem WHERE l_linenumber <> 7))"""
+
+
+@query(f"WITH {BRIDGE} SELECT track_id, artist_id, CAST(position AS INTEGER) AS position, n_members, CAST(1 AS DOUBLE) / n_members AS weight FROM b")
+def bridge_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The artists of every track, over all of its occurrences."""
+    items = nested.flatten_items(pages(spark, sf))
+    return bridge.bridge_table(nested.track_artists(items), "track_id", "artist_id")
+
+
+@query(f"""
+WITH {BRIDGE},
+m AS (SELECT CAST(l_partkey AS VARCHAR) AS track_id, sum(l_partkey % 101) AS popularity, sum(l_partkey * 10) AS duration_ms
+      FROM lineitem GROUP BY 1),
+s AS (SELECT artist_id, CASE WHEN artist_id IS NULL THEN popularity ELSE popularity // n_members +
+        CASE WHEN position < popularity % n_members THEN 1 ELSE 0 END END AS popularity,
+        CASE WHEN artist_id IS NULL THEN duration_ms ELSE duration_ms // n_members +
+        CASE WHEN position < duration_ms % n_members THEN 1 ELSE 0 END END AS duration_ms FROM m LEFT JOIN b USING (track_id)
+      UNION ALL SELECT NULL, NULL, NULL)
+SELECT artist_id, CAST(sum(popularity) AS BIGINT) AS popularity, CAST(sum(duration_ms) AS BIGINT) AS duration_ms,
+       rank() OVER (ORDER BY sum(popularity) DESC NULLS LAST) AS place FROM s GROUP BY artist_id
+""")
+def through_bridge(spark: SparkSession, sf: str) -> DataFrame:
+    """Artists ranked by the popularity that their tracks share out among them; all shares add up."""
+    items = nested.flatten_items(pages(spark, sf))
+    artists = bridge.bridge_table(nested.track_artists(items), "track_id", "artist_id")
+    rows = items.select(F.col("track.id").alias("track_id"), F.col("track.popularity").alias("popularity"),
+                        F.col("track.duration_ms").alias("duration_ms"))
+    totals = bridge.through_bridge(rows, artists, "track_id", "artist_id", ["popularity", "duration_ms"])
+    return rankings.ranked(totals, "popularity", "place")
+
+
 # --- jobs -------------------------------------------------------------------------------------
 
 

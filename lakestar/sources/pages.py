@@ -67,6 +67,12 @@ def _url(urls: str, link: str) -> Column:
     return F.try_element_at(F.col(urls), F.lit(link))
 
 
+def track_artists(items: DataFrame) -> DataFrame:
+    """(track_id, artist_id) for every artist of every item, repeats included: the pairs of a bridge."""
+    pairs = items.select(F.col("track.id").alias("track_id"), F.explode("track.artists").alias("artist"))
+    return pairs.select("track_id", F.col("artist.id").alias("artist_id"))
+
+
 def flatten_artists(items: DataFrame, extracted: object, link: str) -> DataFrame:
     """One row per artist: as first seen in the last playlist that mentions the artist.
 
