@@ -40,6 +40,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it as long as the table has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def widened(df: DataFrame, fields: str) -> StructType:
     """The schema of a DataFrame with further fields, given as DDL."""
     return StructType([*df.schema.fields, *StructType.fromDDL(fields).fields])

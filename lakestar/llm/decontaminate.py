@@ -14,7 +14,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import open_file, stored, widened
+from lakestar.llm.common import free_name, open_file, stored, widened
 
 # Fixed value of the contract: words of a window.
 WINDOW = 13
@@ -218,8 +218,8 @@ def spans(hit: np.ndarray) -> list[tuple[int, int]]:
 
 
 def benchmark_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents' columns and ``__hits``, a struct of n_words, n_hit, n_items, items_sha256,
+                   block_bytes: int = BLOCK_BYTES, name: str = "__hits") -> DataFrame:
+    """The documents' columns and one called ``name``, which replaces an own one: a struct of n_words, n_hit, n_items, items_sha256,
     contaminated and spans (of words, end exclusive).
 
     A word is hit when it lies in an occurrence of a window of consecutive item words, or of a whole item
@@ -227,8 +227,9 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, window: int = WIN
     through them one after the other for each shard (one Arrow batch of documents) and merges their
     spans, so nothing is shuffled or sent to the driver and results do not depend on blocks or shards.
     Null and empty texts have no words and no hits; a null item id counts as ``None``; items without words
-    and an empty benchmark hit nothing.
+    and an empty benchmark hit nothing. Repeated rows get the same result each, and an empty table gives no rows.
     """
+    documents = documents.drop(name)
     size = benchmark.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = benchmark.select("item_id", "text").repartition(max(1, -(-size // block_bytes)), F.xxhash64("text"))
     uris = stored(blocks, "benchmark").inputFiles()
@@ -254,9 +255,9 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, window: int = WIN
                     "spans": [{"start": a, "end": b} for a, b in spans(own)] if n_hit else [],
                 })
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(rows, HITS)], names=[*batch.schema.names, "__hits"])
+                [*batch.columns, pa.array(rows, HITS)], names=[*batch.schema.names, name])
 
-    out = widened(documents, "__hits struct<n_words:bigint,n_hit:bigint,n_items:bigint,items_sha256:string,contaminated:boolean,"
+    out = widened(documents, f"`{name}` struct<n_words:bigint,n_hit:bigint,n_items:bigint,items_sha256:string,contaminated:boolean,"
                   "spans:array<struct<start:bigint,end:bigint>>>")
     return documents.mapInArrow(judge, out)
 
@@ -268,6 +269,7 @@ HITS = pa.struct([
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
-    judged = benchmark_hits(documents, benchmark, window)
-    return judged.filter(~F.col("__hits.contaminated")).select(*documents.columns)
+    """The documents that are not contaminated, with all their columns, whatever their names."""
+    name = free_name(documents, "__hits")
+    judged = benchmark_hits(documents, benchmark, window, name=name)
+    return judged.filter(~F.col(name)["contaminated"]).select(*documents.columns)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.llm.common import narrow_join, stored, widened, without_rows
+from lakestar.operators.dedup import orderable_columns
 from lakestar.operators.joins import count_rows
 
 # Digests per bucket: a filter and the digests that it screens are one task's work.
@@ -189,7 +190,9 @@ def exact_duplicates(
 def drop_exact_duplicates(documents: DataFrame, in_snapshot: Column) -> DataFrame:
     """The documents whose row stays, with all their columns.
 
-    Of rows that repeat both id and text, the one that sorts first by its other columns stays.
+    Of rows that repeat both id and text, the one that sorts first by its other columns stays; columns that
+    have no order, such as maps, count after the others and as JSON. Null texts are empty, null ids come last,
+    and an empty table gives no rows.
     """
     decided = stored(exact_duplicates(documents, in_snapshot), "dedup-decided")
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
@@ -204,7 +207,11 @@ def drop_exact_duplicates(documents: DataFrame, in_snapshot: Column) -> DataFram
     others = [c for c in documents.columns if c not in ("doc_id", "text")]
     renamed = twice.select(*[F.col(k).alias(f"__twice_{k}") for k in keys])
     on = F.col("doc_id").eqNullSafe(F.col("__twice_doc_id")) & (sha == F.col("__twice_text_sha256"))
+    sorted_by = orderable_columns(documents, ["doc_id", "text"])
+    unordered = [c for c in others if c not in sorted_by]
+    order = F.struct(F.lit(0).alias("__first"), *sorted_by, *(
+        [F.to_json(F.struct(*unordered)).alias("__rest")] if unordered else []))
     repeated = left.join(renamed, on, "left_semi").groupBy("doc_id", "text").agg(
-        F.min(F.struct(F.lit(0).alias("__first"), *others)).alias("__row"))
+        F.min_by(F.struct(F.lit(0).alias("__first"), *others), order).alias("__row"))
     repeated = repeated.select("doc_id", "text", *[F.col("__row")[c].alias(c) for c in others])
     return once.unionByName(repeated.select(*documents.columns))

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import BROADCAST_ROWS, stored
+from lakestar.llm.common import BROADCAST_ROWS, free_name, stored
 from lakestar.llm.tokenizer_words import groups_of_text
 from lakestar.operators.joins import count_rows
 
@@ -313,12 +313,8 @@ def fit_quality(documents: DataFrame, labels: DataFrame, learn: Column, sample:
     return Model(vectors, fit_network(np.array([r["x"] for r in found]), y), float(y.mean()))
 
 
-def score_quality(documents: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
-    """The documents' columns, and ``__held_out`` and ``__score``, the probability of label 1 by the text alone.
-
-    The model is fitted to documents that are not held out, see `fit_quality`. Null and empty texts are
-    scored as texts without words; without usable labels every score is 1, with one class its share.
-    """
+def _scorer(documents: DataFrame, labels: DataFrame, held_out: Column):
+    """A function of a text column that scores it by a model fitted to the documents not held out."""
     model = fit_quality(documents, labels, ~held_out)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by VOCABULARY, DIMENSION and HIDDEN
 
@@ -328,9 +324,26 @@ def score_quality(documents: DataFrame, labels: DataFrame, held_out: Column) ->
         for series in texts:
             yield pd.Series(shared.value.scores(list(series), tokens))
 
-    return documents.withColumns({"__held_out": held_out, "__score": score("text")})
+    return score
+
+
+def score_quality(documents: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
+    """The documents' columns, and ``__held_out`` and ``__score``, the probability of label 1 by the text alone.
+
+    The model is fitted to documents that are not held out, see `fit_quality`. Null and empty texts are
+    scored as texts without words; without usable labels every score is 1, with one class or with fewer than
+    ten labelled documents its share of label 1. Texts of any length are scored whole, repeated rows alike, and an
+    empty table gives no rows. Columns of the two names in the input are replaced, all others are kept.
+    """
+    return documents.withColumns({"__held_out": held_out, "__score": _scorer(documents, labels, held_out)("text")})
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, held_out: Column, least: float = 0.5) -> DataFrame:
-    """The documents with a score of at least ``least``, with all their columns."""
-    return score_quality(documents, labels, held_out).filter(F.col("__score") >= least).select(*documents.columns)
+    """The documents with a score of at least ``least``, with all their columns, whatever their names.
+
+    Scores are those of `score_quality`; so repeated rows stay or go together, null and empty texts are judged
+    like texts without words, and an empty table gives no rows.
+    """
+    name = free_name(documents, "__score")
+    scored = documents.withColumn(name, _scorer(documents, labels, held_out)("text"))
+    return scored.filter(F.col(name) >= least).select(*documents.columns)

@@ -213,3 +213,22 @@ def test_urls(spark):
         ("example.org/en/1", "block"), ("org/", "allow"), ("com/fr/", "allow"), ("com/de/", "block"), (None, "allow"),
         (None, "allow"), (None, "block"), (None, "block"), (None, "allow"), ("org/", "allow"), ("org/", "allow")]
     assert judge_urls(pages.limit(0)).count() == 0
+
+
+def test_columns_with_the_operators_own_names_are_kept(spark, documents):
+    named = documents.select("doc_id", "text", "lang").withColumns({
+        "__score": F.lit(0.25), "___score": F.lit("x"), "__held_out": F.lit(7), "__hits": F.lit("own"), "__first": F.lit(1)})
+    known = labels(spark, [(0, 1, None), (1, 1, None), (8, 0, None)])
+    good = keep_good(named, known, F.lit(False), least=0.0)
+    assert good.columns == named.columns and sorted(map(repr, good.collect())) == sorted(map(repr, named.collect()))
+    clean = decontaminate(named, spark.createDataFrame([(1, "nothing of these")], "item_id long, text string"))
+    assert clean.columns == named.columns and clean.count() == len(TEXTS)
+    hits = benchmark_hits(named, spark.createDataFrame([(1, "the same text")], "item_id long, text string"))
+    assert hits.columns == [c for c in named.columns if c != "__hits"] + ["__hits"]
+    assert hits.filter("`__hits`.n_hit > 0").count() == 5
+
+
+def test_repeated_rows_with_columns_that_have_no_order(spark):
+    rows = [(1, "t", {"a": 1}), (1, "t", {"b": 2}), (1, "t", {"a": 1}), (2, "u", None), (2, "u", None), (3, "v", {})]
+    found = drop_exact_duplicates(stored(spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>"), "maps"), in_first_snapshot())
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, [(1, "t", {"a": 1}), (2, "u", None), (3, "v", {})]))
