@@ -8,8 +8,9 @@ candidates, overlaps are counted in each of ``PARTS`` coarse fragments on its ow
 Links are only needed as far as they connect. Documents with an equal set are one node. N-grams that no other
 candidate has bound every overlap from above, which excludes most nodes and pairs. The nodes that share a
 segment are compared with one of them, its leader; linked ones need no comparison with each other. Where a
-segment's nodes end in several components, the pairs across components are screened by bitmaps, which bound
-differences from below, and those that pass are counted. So the components are exactly those of all links.
+segment's nodes end in several components, the pairs across components are compared too. All pairs are screened
+by bitmaps, which bound differences from below, and sets are moved only for those that pass. So the components
+are exactly those of all links.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ BUCKET_SIGNATURES = 1_000_000
 SIGNED_CHARS = 1_000_000
 # Members of a segment that one task compares with each other or with as many others.
 BLOCK_MEMBERS = 2_000
+# Steps in which the n-grams of the coarse fragments are counted, so that the disk holds a share of them at a time.
+CORE_STEPS = 2
 # Other cuts of the order for sets that leave too many fragments empty.
 LEVELS = 4
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -261,8 +264,11 @@ def parity_bits(grams: np.ndarray, percent: int) -> np.ndarray:
     return np.packbits(np.bincount(place, minlength=bits) & 1, bitorder="little").view(np.int64)
 
 
-def _segments(documents: DataFrame, wanted: DataFrame, n: int, percent: int) -> DataFrame:
-    """``node, part, grams``: the sets of wanted nodes, cut into coarse fragments; part -1 is the bitmap."""
+def _segments(documents: DataFrame, members: DataFrame, wanted: DataFrame, n: int, percent: int) -> DataFrame:
+    """``node, part, grams``: the sets of wanted nodes, cut into coarse fragments; part -1 is the bitmap.
+
+    Sets are read from the first row of each node and shuffled only where ids repeat, to keep one of each.
+    """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.arange(1, PARTS).astype(np.uint64) << np.uint64(64 - (PARTS - 1).bit_length())
@@ -284,16 +290,44 @@ def _segments(documents: DataFrame, wanted: DataFrame, n: int, percent: int) ->
                     [pa.array(nodes, pa.int64()), pa.array(parts, pa.int32()), pa.array(grams, pa.list_(pa.int64()))],
                     names=["node", "part", "grams"])
 
-    rows = narrow_join(
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
-        wanted.select(F.col("first").alias("__first")), F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
+    firsts, same = wanted.select(F.col("first").alias("__first")), F.col("doc_id").eqNullSafe(F.col("__first"))
+    rows = narrow_join(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), firsts, same, "left_semi")
     cuts = rows.select("text").mapInArrow(cut, "node long, part int, grams array<bigint>")
     cuts = narrow_join(cuts, wanted.select("node"), ["node"], "left_semi")
+    read = narrow_join(narrow_join(members, firsts, same, "left_semi"), wanted.select("node"), ["node"], "left_semi")
+    if read.count() == wanted.count():
+        return cuts
     return cuts.groupBy("node", "part").agg(F.first("grams").alias("grams"))
 
 
+def _folded_to(bits: Column, length: Column) -> Column:
+    """A bitmap at a shorter length, see `parity_bits`."""
+    folded = F.transform(F.sequence(F.lit(1), length), lambda i: F.aggregate(
+        F.sequence(i, F.size(bits), length), F.lit(0).cast("long"),
+        lambda mixed_bits, at: mixed_bits.bitwiseXOR(F.element_at(bits, at))))
+    return F.when(F.size(bits) == length, bits).otherwise(folded)
+
+
+def _screened(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps allow them to link; only bitmaps are moved, no sets."""
+    left = bitmaps.select(F.col("node").alias("a"), F.col("bits").alias("abits"))
+    right = bitmaps.select(F.col("node").alias("b"), F.col("bits").alias("bbits"))
+    length = F.least(F.size("abits"), F.size("bbits"))
+    differing = F.zip_with(
+        _folded_to(F.col("abits"), length), _folded_to(F.col("bbits"), length),
+        lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(differing, F.lit(0), lambda total, bits: total + bits)
+    close = differ * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))
+    return pairs.join(left, "a").join(right, "b").filter(close).select("a", "b", "na", "nb")
+
+
 def _links(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that link: overlaps are counted per part and summed per pair."""
+    """The pairs ``a, b`` that link: overlaps are counted per part and summed per pair.
+
+    Only sets of the pairs' nodes are moved.
+    """
+    paired = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    segments = narrow_join(segments, paired, ["node"], "left_semi")
     left = segments.select(F.col("node").alias("a"), "part", F.col("grams").alias("ga"))
     right = segments.select(F.col("node").alias("b"), "part", F.col("grams").alias("gb"))
     counted = pairs.join(left, "a").join(right, ["b", "part"]).select(
@@ -308,9 +342,13 @@ def _cores(candidates: DataFrame, segments: DataFrame, percent: int) -> DataFram
     The core of a set is what is left without the n-grams that no other candidate has. An overlap is at
     most as large as either core.
     """
-    grams = segments.select("node", F.explode("grams").alias("gram"))
-    alone = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter("n = 1")
-    counts = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    counts = None
+    for step in range(CORE_STEPS):
+        grams = segments.filter(F.col("part") % CORE_STEPS == step).select("node", F.explode("grams").alias("gram"))
+        alone = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter("n = 1")
+        some = stored(alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone")), "jaccard-alone")
+        counts = some if counts is None else counts.unionByName(some)
+    counts = counts.groupBy("node").agg(F.sum("alone").alias("alone"))
     cores = candidates.join(counts, "node", "left").select(
         "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("core"))
     return cores.filter(100 * F.col("core") >= percent * F.col("n"))
@@ -475,13 +513,13 @@ def near_duplicates(documents: DataFrame, n: int = 5, percent: int = 80) -> Data
     members_of = stars.select("signature", F.col("a").alias("node")).unionByName(
         stars.select("signature", F.col("b").alias("node"))).distinct()
     candidates = stored(nodes.join(members_of.select("node").distinct(), "node", "left_semi"), "jaccard-wanted")
-    cuts = stored(_segments(documents, candidates, n, percent), "jaccard-segments")
+    cuts = stored(_segments(documents, members, candidates, n, percent), "jaccard-segments")
     segments = cuts.filter("part >= 0")
     bitmaps = cuts.filter("part < 0").select("node", F.col("grams").alias("bits"))
     cores = _cores(candidates, segments, percent).withColumn("root", F.col("node"))
     live = stored(members_of.join(cores, "node").select("signature", "node", "n", "core", "root"), "jaccard-live")
 
-    pairs = stored(_stars(live, _leaders(live), percent), "jaccard-pairs")
+    pairs = stored(_screened(_stars(live, _leaders(live), percent), bitmaps, percent), "jaccard-pairs")
     links = stored(_links(pairs, segments, percent), "jaccard-links")
     roots = stored(components(links), "jaccard-roots")
     left = stored(_unresolved(live, roots), "jaccard-unresolved")
