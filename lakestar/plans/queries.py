@@ -17,7 +17,7 @@ from lakestar.contracts import Contract, declare_table
 from lakestar.functions.dates import calendar_bounds, date_precision, parse_partial_date
 from lakestar.functions.hashing import row_hash, surrogate_key, version_key
 from lakestar.operators import (
-    asof, bridge, dedup, dimensions, facts, history, projection, quality, rankings, reconcile, scd,
+    asof, bridge, dedup, dimensions, facts, history, projection, quality, rankings, reconcile, scd, sketches,
 )
 from lakestar.plans.extract import run_extract
 from lakestar.plans.fixture_data import LINK, cents, moment, pages, table
@@ -27,7 +27,9 @@ from lakestar.plans.silver import merge_landing, run_silver
 from lakestar.session import scratch_dir
 from lakestar.sources import landing, tables, timelines, writers
 from lakestar.sources import pages as nested
+from lakestar.sources.appends import appends_read, insert_filtered
 from lakestar.sources.ledger import ledger_read
+from lakestar.sources.profiles import refresh_profiles, table_profile_estimate
 from lakestar.sources.split_csv import read_csv_split as split_reader
 from lakestar.streaming.pickup import stream_landing
 
@@ -1310,6 +1312,68 @@ def file_ledger(spark: SparkSession, sf: str) -> DataFrame:
         F.regexp_extract("file", "[a-z]+$", 0).alias("read_as"), "merged_on")
 
 
+@query("""
+WITH cells AS (
+    SELECT 'l_orderkey' AS column_name, count(*) AS row_count, count(*) - count(l_orderkey) AS null_count,
+           count(DISTINCT l_orderkey) AS distinct_count, min(l_orderkey) AS least, max(l_orderkey) AS greatest FROM lineitem
+    UNION ALL SELECT 'l_suppkey', count(*), count(*) - count(l_suppkey), count(DISTINCT l_suppkey), min(l_suppkey),
+           max(l_suppkey) FROM lineitem
+    UNION ALL SELECT 'shipped', count(*), count_if(l_quantity >= 40), count(DISTINCT CAST(l_shipdate AS DATE)) FILTER (l_quantity < 40),
+           min(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))) FILTER (l_quantity < 40),
+           max(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))) FILTER (l_quantity < 40) FROM lineitem)
+SELECT column_name, row_count, null_count, distinct_count, least, greatest, TRUE AS distinct_within, TRUE AS median_within,
+       'l_returnflag=R' AS read_by_second_run
+FROM cells
+""")
+def mergeable_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles of partitions, the last of them added later and read alone, merged and compared with exact figures.
+
+    Estimates have to lie within 5 % of the distinct values and of the middle rank.
+    """
+    folder = scratch_dir(spark, "profiles")
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_suppkey", F.when(F.col("l_quantity") < 40, F.col("l_shipdate").cast("date")).alias("shipped"),
+        "l_returnflag")
+    for part in (F.col("l_returnflag") != "R", F.col("l_returnflag") == "R"):
+        lines.filter(part).write.mode("append").partitionBy("l_returnflag").parquet(f"{folder}/lines")
+        read = refresh_profiles(spark, f"{folder}/lines", "l_returnflag", f"{folder}/profiles")
+    found = sketches.profile_estimates(table_profile_estimate(spark, f"{folder}/profiles"), (0.0, 0.5, 1.0)).select(
+        "*", *(F.col("quantiles")[i].alias(name) for i, name in enumerate(("least", "median", "greatest"))))
+    medians = {r["column_name"]: r["median"] for r in found.select("column_name", "median").collect()}
+    kinds = {f.name: f.dataType for f in lines.schema.fields}
+    exact = lines.agg(*(
+        F.struct(
+            F.lit(c).alias("column_name"), F.count_distinct(c).alias("distinct_count"),
+            (F.count_if(sketches.measured(c, kinds[c]) <= m) / F.count(c)).alias("at"),
+            (F.count_if(sketches.measured(c, kinds[c]) < m) / F.count(c)).alias("below")).alias(c)
+        for c, m in medians.items()))
+    exact = exact.select(F.inline(F.array(*medians)))
+    off = F.abs(F.col("distinct_estimate") - F.col("distinct_count"))
+    return found.join(exact, "column_name").select(
+        "column_name", "row_count", "null_count", "distinct_count", F.col("least").cast("long").alias("least"),
+        F.col("greatest").cast("long").alias("greatest"), (off <= 0.05 * F.col("distinct_count")).alias("distinct_within"),
+        ((F.col("below") <= 0.55) & (F.col("at") >= 0.45)).alias("median_within"),
+        F.lit(",".join(read)).alias("read_by_second_run"))
+
+
+@query("""
+SELECT o_orderkey, o_custkey, CASE o_orderkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS load,
+       CASE WHEN o_orderkey % 4 IN (0, 1) THEN TRUE ELSE FALSE END AS came_again
+FROM orders WHERE o_orderkey % 4 < 3
+""")
+def insert_by_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Four overlapping loads into an insert-only table; each key keeps the row of its first load.
+
+    The loads hold the keys of two remainders of four each; the last one is a repetition and adds nothing.
+    """
+    path = scratch_dir(spark, "appends")
+    rest = F.col("o_orderkey") % 4
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    for load, of in enumerate(((0,), (0, 1), (1, 2), (0, 2)), 1):
+        insert_filtered(orders.filter(rest.isin(*of)).withColumn("load", F.lit(load)), path, ["o_orderkey"])
+    return appends_read(spark, path).withColumn("came_again", rest < 2)
+
+
 @query("""
 SELECT l_suppkey, max(l_shipdate) AS extraction_date, count(*) AS seen,
        (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') AS rejected FROM lineitem
