@@ -28,6 +28,7 @@ from lakestar.session import scratch_dir
 from lakestar.sources import landing, tables, timelines, writers
 from lakestar.sources import pages as nested
 from lakestar.sources.appends import appends_read, insert_filtered
+from lakestar.sources.copartitioned import Buckets, copartitioned_insert, copartitioned_merge, copartitioned_read
 from lakestar.sources.ledger import ledger_read
 from lakestar.sources.profiles import refresh_profiles, table_profile_estimate
 from lakestar.sources.split_csv import read_csv_split as split_reader
@@ -1374,6 +1375,41 @@ def insert_by_filter(spark: SparkSession, sf: str) -> DataFrame:
     return appends_read(spark, path).withColumn("came_again", rest < 2)
 
 
+@query("""
+SELECT o_orderkey, o_orderpriority AS priority, o_orderstatus <> 'F' AS is_current, DATE '2026-01-01' AS valid_from,
+       CASE WHEN o_orderstatus = 'F' THEN DATE '2026-01-02' END AS valid_to
+FROM orders WHERE o_orderdate < DATE '1998-01-01'
+UNION ALL
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'closed' ELSE o_orderpriority END, TRUE, DATE '2026-01-02', NULL
+FROM orders WHERE o_orderdate >= DATE '1998-01-01' OR o_orderstatus = 'F'
+""")
+def merge_copartitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads of a type 2 table in buckets: early orders, then all of them with closed ones, then the same again."""
+    path, by_order = scratch_dir(spark, "copartitioned"), Buckets(("o_orderkey",), 16)
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", F.col("o_orderpriority").alias("priority"), (
+        F.col("o_orderstatus") == "F").alias("finished"))
+    early = orders.filter(F.col("o_orderdate") < "1998-01-01")
+    closed = orders.withColumn("priority", F.when(F.col("finished"), "closed").otherwise(F.col("priority")))
+    for staged, day in ((early, DAY1), (closed, DAY2), (closed, DAY3)):
+        copartitioned_merge(_hashed(staged.select("o_orderkey", "priority"), "priority"), path, by_order, day)
+    return copartitioned_read(spark, path, by_order).select(
+        "o_orderkey", "priority", "is_current", F.to_date("valid_from").alias("valid_from"),
+        F.to_date("valid_to").alias("valid_to"))
+
+
+@query("""
+SELECT o_orderkey, o_custkey, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS load FROM orders
+""")
+def insert_copartitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Four overlapping loads into an insert-only table in buckets; each key keeps the row of its first load."""
+    path, by_order = scratch_dir(spark, "copartitioned"), Buckets(("o_orderkey",), 16)
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for load, of in enumerate((("F",), ("F", "O"), ("F", "O", "P"), ("O",)), 1):
+        staged = orders.filter(F.col("o_orderstatus").isin(*of)).drop("o_orderstatus")
+        copartitioned_insert(staged.withColumn("load", F.lit(load)), path, by_order)
+    return copartitioned_read(spark, path, by_order)
+
+
 @query("""
 SELECT l_suppkey, max(l_shipdate) AS extraction_date, count(*) AS seen,
        (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') AS rejected FROM lineitem
