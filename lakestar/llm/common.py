@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Sequence
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +60,14 @@ def open_file(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+def release_memory() -> None:
+    """Give memory that a task has freed back to the system, as workers live on after their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def narrow_join(df: DataFrame, narrow: DataFrame, on: Sequence[str] | Column, how: str) -> DataFrame:
     """Join with a stored table of narrow rows: broadcast when its counted rows are few, else by shuffle.
 

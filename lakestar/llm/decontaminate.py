@@ -14,12 +14,15 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import free_name, open_file, stored, widened
+from lakestar.llm.common import free_name, open_file, release_memory, stored, widened
+from lakestar.llm.tokenizer_words import groups_of_text
 
 # Fixed value of the contract: words of a window.
 WINDOW = 13
 # Bytes of benchmark text in a block; a task holds the phrases of one block at a time.
 BLOCK_BYTES = 8 << 20
+# Characters of the documents of a shard; a longer text is one of its own.
+SHARD_CHARS = 2_000_000
 # Every so many text positions keep their place, and ranks are summed every 64 symbols.
 SAMPLE = 16
 
@@ -224,7 +227,7 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, window: int = WIN
 
     A word is hit when it lies in an occurrence of a window of consecutive item words, or of a whole item
     of fewer. The benchmark is written in blocks of bounded size to the shared folder; a task works
-    through them one after the other for each shard (one Arrow batch of documents) and merges their
+    through them one after the other for each shard (consecutive documents of bounded size) and merges their
     spans, so nothing is shuffled or sent to the driver and results do not depend on blocks or shards.
     Null and empty texts have no words and no hits; a null item id counts as ``None``; items without words
     and an empty benchmark hit nothing. Repeated rows get the same result each, and an empty table gives no rows.
@@ -234,26 +237,37 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, window: int = WIN
     blocks = benchmark.select("item_id", "text").repartition(max(1, -(-size // block_bytes)), F.xxhash64("text"))
     uris = stored(blocks, "benchmark").inputFiles()
 
+    def found_in(shards: list[list[str]]) -> list[tuple[list[int], np.ndarray, list[set[str]]]]:
+        """Words per text, marks of words and items per text of each shard; each block is loaded once."""
+        results: list[tuple[list[int], np.ndarray, list[set[str]]]] = []
+        for uri in uris or [None]:
+            block = _load(uri, window) if uri else Phrases.of([], window)
+            for at, shard in enumerate(shards):
+                texts = [words_of(t) for t in shard]
+                hit, items = find_spans(texts, block)
+                if at == len(results):
+                    results.append(([len(t) for t in texts], hit, items))
+                else:
+                    results[at][1][hit] = True
+                    for have, new in zip(results[at][2], items):
+                        have |= new
+        return results
+
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [words_of(t) for t in batch["text"].to_pylist()]
-            hit, items = np.zeros(sum(map(len, texts)), dtype=bool), [set() for _ in texts]
-            for uri in uris:
-                more, found = find_spans(texts, _load(uri, window))
-                hit |= more
-                for have, new in zip(items, found):
-                    have |= new
-            ends = np.cumsum([len(t) for t in texts])
             rows = []
-            for text, end, have in zip(texts, ends, items):
-                own = hit[end - len(text) : end]
-                n_hit = int(own.sum())
-                rows.append({
-                    "n_words": len(text), "n_hit": n_hit, "n_items": len(have),
-                    "items_sha256": hashlib.sha256(",".join(sorted(have)).encode()).hexdigest(),
-                    "contaminated": n_hit > 0 and 20 * n_hit >= len(text),
-                    "spans": [{"start": a, "end": b} for a, b in spans(own)] if n_hit else [],
-                })
+            for sizes, hit, items in found_in(list(groups_of_text(batch["text"].to_pylist(), SHARD_CHARS))):
+                ends = np.cumsum(sizes)
+                for size, end, have in zip(sizes, ends, items):
+                    own = hit[end - size : end]
+                    n_hit = int(own.sum())
+                    rows.append({
+                        "n_words": size, "n_hit": n_hit, "n_items": len(have),
+                        "items_sha256": hashlib.sha256(",".join(sorted(have)).encode()).hexdigest(),
+                        "contaminated": n_hit > 0 and 20 * n_hit >= size,
+                        "spans": [{"start": a, "end": b} for a, b in spans(own)] if n_hit else [],
+                    })
+            release_memory()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(rows, HITS)], names=[*batch.schema.names, name])
 

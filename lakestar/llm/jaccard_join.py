@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import narrow_join, stored, without_rows
+from lakestar.llm.common import narrow_join, release_memory, stored, without_rows
 from lakestar.llm.tokenizer_words import groups_of_text
 
 # Coarse fragments, a power of two, in which overlaps are counted.
@@ -186,6 +186,7 @@ def _members(documents: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["mark"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
                 names=["doc_id", "mark", "n_shingles", "node"])
+            release_memory()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
     return rows.mapInArrow(measure, "doc_id long, mark long, n_shingles long, node long")
@@ -232,6 +233,7 @@ def _candidates(documents: DataFrame, n: int, percent: int, buckets: int) -> Dat
             if pairs.any():
                 rows.append((-1 - (int(owner[0]) + number) % buckets, found[pairs], leader[pairs], owner[pairs]))
             yield _packed(rows)
+            release_memory()
 
     def stars(table: pa.Table) -> pa.Table:
         def joined(name, kind):
@@ -289,6 +291,7 @@ def _segments(documents: DataFrame, members: DataFrame, wanted: DataFrame, n: in
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nodes, pa.int64()), pa.array(parts, pa.int32()), pa.array(grams, pa.list_(pa.int64()))],
                     names=["node", "part", "grams"])
+            release_memory()
 
     firsts, same = wanted.select(F.col("first").alias("__first")), F.col("doc_id").eqNullSafe(F.col("__first"))
     rows = narrow_join(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), firsts, same, "left_semi")
