@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
+from lakestar.llm.common import release_memory
 from lakestar.llm.tokenizer_words import groups_of_text
 
 # Chunks of text whose ids a task keeps (about 200 bytes each); when they are more, it starts anew.
@@ -314,6 +315,9 @@ def bpe_digests(documents: DataFrame, tokenizer_path: str) -> DataFrame:
                  pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
                  pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        # The worker lives on, perhaps for other work.
+        coder.known.clear()
+        release_memory()
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(

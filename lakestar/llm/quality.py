@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import BROADCAST_ROWS, free_name, stored
+from lakestar.llm.common import BROADCAST_ROWS, free_name, release_memory, stored
 from lakestar.llm.tokenizer_words import groups_of_text
 from lakestar.operators.joins import count_rows
 
@@ -25,7 +25,7 @@ NONZERO = 4  # entries of +1 or -1 in an index vector
 WINDOW = 2  # neighbours on each side that make up a word's context
 HIDDEN = 32
 GROUP_CHARS = 500_000  # characters of texts that are pooled at a time
-KEPT_TOKENS = 250_000  # about 300 bytes each
+KEPT_TOKENS = 125_000  # about 300 bytes each
 PARTS = re.compile(r"(\W*)(.*?)(\W*)", re.DOTALL)
 
 
@@ -233,6 +233,7 @@ def _word_vectors(sample: DataFrame) -> WordVectors:
                 n = np.bincount(at[place], minlength=len(distinct))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(distinct.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+            release_memory()
 
     counts = sample.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     chosen = [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()]
@@ -261,6 +262,7 @@ def _word_vectors(sample: DataFrame) -> WordVectors:
                         if len(starts):
                             sums[word[starts]] += np.add.reduceat(
                                 index[neighbour] * n[:, None], starts, axis=0).astype(np.int64)
+            release_memory()
         some = np.flatnonzero(sums.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(some), pa.array(list(sums[some]), pa.list_(pa.int64()))], names=["row", "sums"])
@@ -323,6 +325,7 @@ def _scorer(documents: DataFrame, labels: DataFrame, held_out: Column):
         tokens = Tokens()
         for series in texts:
             yield pd.Series(shared.value.scores(list(series), tokens))
+            release_memory()
 
     return score
 

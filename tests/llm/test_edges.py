@@ -183,7 +183,7 @@ def test_components_of_a_chain_and_a_star(spark):
     assert found == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}, 200: 100}
 
 
-def test_decontamination(spark, documents, nothing):
+def test_decontamination(spark, documents, nothing, monkeypatch):
     phrase = " ".join(f"word{i} the" for i in range(8))
     items = [(1, phrase), (2, "seven words"), (3, None), (4, "!!"), (None, "same TEXT"), (2, "x")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
@@ -196,6 +196,11 @@ def test_decontamination(spark, documents, nothing):
         assert rows[10]["n_hit"] == 1 and rows[2]["n_words"] == 0 and not rows[2]["contaminated"]
         assert rows[4]["n_hit"] > 900 and not rows[4]["contaminated"]
     assert benchmark_hits(nothing, benchmark).count() == 0
+    whole = sorted(map(str, benchmark_hits(documents, benchmark).select("doc_id", "text", "__hits").collect()))
+    with monkeypatch.context() as small:
+        small.setattr("lakestar.llm.decontaminate.SHARD_CHARS", 40)
+        shards = benchmark_hits(documents, benchmark, block_bytes=30).select("doc_id", "text", "__hits")
+        assert sorted(map(str, shards.collect())) == whole
     assert decontaminate(documents, benchmark.limit(0)).count() == len(TEXTS)
     assert decontaminate(documents, benchmark).columns == documents.columns
 
