@@ -308,12 +308,13 @@ def bpe_digests(documents: DataFrame, tokenizer_path: str) -> DataFrame:
     def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = byte_bpe(tokenizer_path)
         for batch in batches:
-            ids = list(coder.encode(batch["text"].to_pylist()))
-            texts = (coder.decode(i).encode("utf-8", "surrogatepass") for i in ids)
+            sizes, digests, decoded = [], [], []
+            for ids in coder.encode(batch["text"].to_pylist()):
+                sizes.append(len(ids) // 4)
+                digests.append(hashlib.sha256(ids).hexdigest())
+                decoded.append(hashlib.sha256(coder.decode(ids).encode("utf-8", "surrogatepass")).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array([len(i) // 4 for i in ids], pa.int64()),
-                 pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
-                 pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())],
+                [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         # The worker lives on, perhaps for other work.
         coder.known.clear()

@@ -218,8 +218,10 @@ def _candidates(documents: DataFrame, n: int, percent: int, buckets: int) -> Dat
             found, owner = np.concatenate([np.zeros(0, np.uint64), *found]), np.concatenate([np.zeros(0, np.int64), *owners])
             if not len(found):
                 continue
+            del owners, nodes
             order = np.lexsort((owner, found))
             found, owner = found[order], owner[order]
+            del order
             again = np.zeros(len(found), dtype=bool)
             again[1:] = (found[1:] == found[:-1]) & (owner[1:] == owner[:-1])
             found, owner = found[~again], owner[~again]
