@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestar.contracts import Contract
-from lakestar.sources.landing import CORRUPT, CSV_READ_OPTIONS, SOURCE_FILE
+from lakestar.sources.landing import CORRUPT, CSV_READ_OPTIONS, SOURCE_FILE, file_glob
 
 RANGE, LINE, RECORD = "__range", "__line", "__record"
 PART = [SOURCE_FILE, RANGE]
@@ -26,7 +26,7 @@ def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     the files. A record is in one task, so it may not outgrow a task's memory, but a file may.
     """
     lines = (
-        spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(path)
+        spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").option("pathGlobFilter", file_glob("csv")).text(path)
         .select(F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_block_start").alias(RANGE),
                 F.monotonically_increasing_id().alias(LINE), "value")
     )

@@ -12,7 +12,7 @@ from lakestar.contracts import Contract
 from lakestar.plans.silver import stage_latest
 from lakestar.sources.files import matching_paths
 from lakestar.sources.landing import (
-    CORRUPT, CSV_READ_OPTIONS, PROBLEM, SOURCE_FILE, SUCCESS, with_problem, with_source_file,
+    CORRUPT, CSV_READ_OPTIONS, PROBLEM, SOURCE_FILE, SUCCESS, file_glob, with_problem, with_source_file,
 )
 from lakestar.sources.tables import scd2_merge, table_exists, table_overwrite, table_read
 
@@ -49,7 +49,7 @@ def stream_landing(
         .option("multiLine", "true")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", file_glob("csv"))
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
     )
