@@ -757,10 +757,10 @@ def read_csv_contract(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT page_id, url, html FROM pages")
 def read_csv_split(spark: SparkSession, sf: str) -> DataFrame:
-    """The same pages in one CSV file, read by ranges: quoted newlines may lie anywhere."""
+    """The same pages, a CSV file for each split of the scan, read by ranges: quoted newlines may lie anywhere."""
     path = scratch_dir(spark, "csv")
     pages_in = table(spark, sf, "pages").select(*PAGE.columns)
-    pages_in.coalesce(1).write.options(**landing.CSV_OPTIONS).csv(path)
+    pages_in.write.options(**landing.CSV_OPTIONS).csv(path)
     return projection.enforce_contract(split_reader(spark, path, PAGE), PAGE)
 
 
@@ -957,7 +957,7 @@ SELECT l_orderkey, CAST(l_linenumber AS BIGINT), 2, '', 'bare ' || l_partkey, 0
 def flatten_items(spark: SparkSession, sf: str) -> DataFrame:
     """Pages through JSON text and back; items without a track are left out."""
     path = scratch_dir(spark, "pages")
-    pages(spark, sf).write.json(path, compression="gzip")
+    pages(spark, sf).write.option("zlib.compress.level", "BEST_SPEED").json(path, compression="gzip")
     return nested.flatten_items(nested.read_pages(spark, path)).select(
         "playlist_position", "page_offset", "item_position", "added_at",
         F.col("track.id").alias("track_id"), F.size("track.artists").alias("n_artists"))

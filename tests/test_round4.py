@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakestar.contracts import Contract
 from lakestar.plans.extract import run_extract
 from lakestar.plans.layout import Layout
+from lakestar.plans.queries import QUERIES
 from lakestar.plans.silver import run_silver
 from lakestar.sources.landing import landing_files, read_landing
 from lakestar.sources.ledger import NewFiles
@@ -83,3 +84,12 @@ def test_clustered_staging_does_not_shuffle(spark, tmp_path):
     assert count == spark.read.parquet(path).count() == 400
     # One key, hence one bucket, is written by all four tasks.
     assert len(_files(path)) == 4 and len([n for n in os.listdir(path) if n.startswith("bucket=")]) == 1
+
+
+def test_split_csv_input_is_written_by_all_tasks(spark, tmp_path):
+    data = [(n, f"u{n}", f'<a href="x">\n{n}') for n in range(8)]
+    spark.createDataFrame(data, "page_id bigint, url string, html string").repartition(4).write.parquet(
+        str(tmp_path / "pages.parquet"))
+    read = QUERIES["read_csv_split"](spark, str(tmp_path))
+    assert sorted(map(tuple, read.collect())) == data
+    assert len(read.inputFiles()) > 1
