@@ -2,12 +2,17 @@ import json
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from lakestar.contracts import STAGED_ALBUMS, STAGED_ARTISTS, Contract, declare_table
 from lakestar.operators.projection import current_rows
 from lakestar.operators.scd import scd2_apply, scd2_initial, with_hash
-from lakestar.session import scratch_dir
+from lakestar.plans import silver
+from lakestar.plans.extract import run_extract
+from lakestar.plans.layout import Layout, Metrics
+from lakestar.plans.silver import run_silver
+from lakestar.session import SCAN_BYTES, SORTED_SCAN_BYTES, scratch_dir, settings, small_scans
 from lakestar.sources import landing, pages, tables, writers
 from lakestar.streaming.pickup import picked_up, stream_landing
 from tests.conftest import T0, T1, T2
@@ -353,3 +358,41 @@ def test_changed_types_fail_and_publish_nothing(spark, tmp_path):
         _growing(spark, path, [("a", "3")], "id string, n string", T2, ["n"])
     assert content(current_rows(tables.table_read(spark, path)), "id", "n") == [("a", 2)]
     assert dict(tables.table_read(spark, path).dtypes)["n"] == "bigint"
+
+
+# --- staging and scans that spill nothing
+
+
+def test_staging_writes_its_buckets_without_a_sort(spark, tmp_path, monkeypatch):
+    """More buckets than open files are written whole too, and the session's setting comes back."""
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    original = DataFrameWriter.parquet
+
+    def watched(self, *args, **kwargs):
+        seen.append(int(spark.conf.get(name)))
+        return original(self, *args, **kwargs)
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    before = spark.conf.get(name)
+    df = spark.range(4000).selectExpr("CASE WHEN id % 3 <> 0 THEN id % 200 END AS k", "id AS v")
+    for buckets in (10, 40):
+        path, count = writers.stage_clustered(df, str(tmp_path / str(buckets)), "k", T0, buckets=buckets)
+        stored = spark.read.parquet(path)
+        assert count == 4000 and sorted(map(tuple, stored.select("k", "v").collect()), key=repr) == sorted(
+            map(tuple, df.collect()), key=repr)
+        assert stored.filter("k is not null").groupBy("k").agg(F.count_distinct("bucket").alias("n")).filter("n > 1").isEmpty()
+    assert seen == [writers.OPEN_FILES] * 2 and writers.OPEN_FILES >= 10
+    assert spark.conf.get(name) == before
+
+
+def test_overlapping_settings_come_back(spark):
+    before = spark.conf.get(SCAN_BYTES)
+    outer, inner = settings(spark, {SCAN_BYTES: "1000"}), settings(spark, {SCAN_BYTES: "1000"})
+    outer.__enter__()
+    inner.__enter__()
+    outer.__exit__(None, None, None)
+    assert spark.conf.get(SCAN_BYTES) == "1000"
+    inner.__exit__(None, None, None)
+    assert spark.conf.get(SCAN_BYTES) == before
+    assert small_scans(spark, 5) == {SCAN_BYTES: "5"}
+    with settings(spark, {SCAN_BYTES: "3"}):
+        assert small_scans(spark, 5) == {SCAN_BYTES: "3"}
