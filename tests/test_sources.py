@@ -396,3 +396,52 @@ def test_overlapping_settings_come_back(spark):
     assert small_scans(spark, 5) == {SCAN_BYTES: "5"}
     with settings(spark, {SCAN_BYTES: "3"}):
         assert small_scans(spark, 5) == {SCAN_BYTES: "3"}
+
+
+def test_jobs_sort_small_scans(spark, tmp_path, monkeypatch):
+    """Extract and silver read few bytes per task where tasks sort what they read."""
+    seen = []
+    original = Metrics.run
+
+    def watched(self, steps):
+        seen.append(spark.conf.get(SCAN_BYTES))
+        return original(self, steps)
+    monkeypatch.setattr(Metrics, "run", watched)
+    before = spark.conf.get(SCAN_BYTES)
+    layout = Layout(str(tmp_path / "lake"))
+    page = {"playlist_id": "p", "playlist_position": 0, "page_offset": 0, "items": [
+        {"added_at": "2020-01-02", "track": {"id": "t", "name": "n", "album": {"id": "al", "name": "al"}, "artists": [_artist("a", "A")]}}]}
+    (tmp_path / "pages.json").write_text(json.dumps(page))
+    run_extract(spark, str(tmp_path / "pages.json"), layout, T0, "web")
+    run_silver(spark, layout, T0)
+    assert seen == [str(2 * SORTED_SCAN_BYTES), str(SORTED_SCAN_BYTES)]
+    assert spark.conf.get(SCAN_BYTES) == before
+
+
+def test_tracks_are_sorted_without_their_paths(spark, tmp_path, monkeypatch):
+    """Of equal rows the one in the last file stays, as with the paths themselves, which come back whole."""
+    seen, original = [], silver.dedup_latest
+
+    def watched(df, *args):
+        seen.append(df.columns)
+        return original(df, *args)
+    monkeypatch.setattr(silver, "dedup_latest", watched)
+    layout = Layout(str(tmp_path / "a lake"))
+    songs = spark.createDataFrame(
+        [(k, k, f"a{i}", "2026-01-01T00:00:00") for i in range(9) for k in ("t1", "t2", None)],
+        "song_id string, song_name string, artist_id string, extraction_date string")
+    path, _ = writers.stage_clustered(songs.withColumn("artist_id", F.lit("a")).unionByName(songs), f"{layout.staged}/songs", "artist_id", T0)
+    silver._insert_tracks(spark, layout, T0)
+    stored = tables.table_read(spark, f"{layout.silver}/tracks")
+    read = landing.read_landing(spark, path, silver.STAGED_TRACKS, "parquet").filter("track_id is not null")
+    expected = original(read, ["track_id"], ["extraction_date"])
+    assert content(stored, *expected.columns) == content(expected, *expected.columns) and stored.count() == 2
+    assert stored.filter("source_file not like '%.parquet'").isEmpty()
+    assert all("source_file" not in columns for columns in seen) and seen
+
+
+def test_stored_hashes_take_half_their_digits(spark, tmp_path):
+    rows = spark.range(20000).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    tables.table_overwrite(rows.coalesce(1), str(tmp_path / "t"))
+    size = sum(f.stat().st_size for f in (tmp_path / "t" / "v=1").glob("*.parquet"))
+    assert size < 0.65 * 64 * 20000
