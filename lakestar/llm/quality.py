@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,8 +27,10 @@ NONZERO = 4  # entries of +1 or -1 in an index vector
 WINDOW = 2  # neighbours on each side that make up a word's context
 HIDDEN = 32
 GROUP_CHARS = 500_000  # characters of texts that are pooled at a time
-KEPT_TOKENS = 125_000  # about 300 bytes each
+KEPT_TOKENS = 125_000  # about 200 bytes each
 PARTS = re.compile(r"(\W*)(.*?)(\W*)", re.DOTALL)
+# Hashes of the forms of tokens that are letters only.
+WORD_FORMS = {case: xxhash.xxh3_64_intdigest(f"\0\0{case}\0") for case in ("A", "Aa", "a")}
 
 
 def _entries(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -44,8 +48,9 @@ def index_vectors(hashes: np.ndarray) -> np.ndarray:
     """The sparse random vector of each word, from the word alone."""
     places, signs = _entries(hashes)
     out = np.zeros((len(hashes), DIMENSION), dtype=np.float32)
+    rows = np.arange(len(hashes))
     for k in range(NONZERO):
-        np.add.at(out, (np.arange(len(hashes)), places[:, k]), signs[:, k])
+        out[rows, places[:, k]] += signs[:, k]
     return out
 
 
@@ -61,11 +66,14 @@ class Tokens:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.words: list[int] = []
-        self.forms: list[int] = []
+        self.words, self.forms = array("Q"), array("Q")
 
     @staticmethod
     def _hashes(token: str) -> tuple[int, int]:
+        if token.isalpha():  # no marks, no digits
+            case = "A" if len(token) > 1 and token.isupper() else "Aa" if token[0].isupper() else "a"
+            form = WORD_FORMS[case]
+            return xxhash.xxh3_64_intdigest(token.lower()), form
         before, core, after = PARTS.fullmatch(token).groups()
         case = "A" if core.isupper() and len(core) > 1 else "Aa" if core[:1].isupper() else "a" if core else ""
         form = f"\0{before[:3]}\0{case}{'9' if any(c.isdigit() for c in core) else ''}\0{after[:3]}"
@@ -77,19 +85,19 @@ class Tokens:
             self.clear()
         split = [t.split() for t in texts]
         sizes = np.array([len(s) for s in split], dtype=np.int64)
-        for token in {t for s in split for t in s}.difference(self.number):
+        for token in set(chain.from_iterable(split)).difference(self.number):
             word, form = self._hashes(token)
             self.number[token] = len(self.words)
             self.words.append(word)
             self.forms.append(form)
-        get = self.number.__getitem__
-        return np.fromiter((get(t) for s in split for t in s), dtype=np.int64, count=int(sizes.sum())), sizes
+        numbers = map(self.number.__getitem__, chain.from_iterable(split))
+        return np.fromiter(numbers, dtype=np.int64, count=int(sizes.sum())), sizes
 
     def hashes(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word and form hashes of the distinct numbers, and the place of each number among them."""
         distinct, place = np.unique(numbers, return_inverse=True)
-        words = np.fromiter((self.words[i] for i in distinct), dtype=np.uint64, count=len(distinct))
-        forms = np.fromiter((self.forms[i] for i in distinct), dtype=np.uint64, count=len(distinct))
+        words, forms = (np.frombuffer(kept, dtype=np.uint64)[distinct] if len(distinct) else np.zeros(0, np.uint64)
+                        for kept in (self.words, self.forms))
         return words, forms, place
 
 
@@ -129,9 +137,10 @@ def pooled(texts: list[str | None], vectors: WordVectors, tokens: Tokens) -> np.
         pairs, counts = np.unique(owner * max(1, len(words)) + place, return_counts=True)
         which, token = np.divmod(pairs, max(1, len(words)))
         sums = np.zeros((len(group), 2 * DIMENSION), dtype=np.float32)
-        starts = np.flatnonzero(np.diff(which, prepend=-1))
-        if len(starts):
-            sums[which[starts]] = np.add.reduceat(table[token] * counts[:, None].astype(np.float32), starts, axis=0)
+        edges = [*np.flatnonzero(np.diff(which, prepend=-1)).tolist(), len(which)]
+        for start, end in zip(edges, edges[1:]):  # one text at a time: its rows are added in cache
+            weights = counts[start:end, None].astype(np.float32)
+            sums[which[start]] = np.add.reduce(table[token[start:end]] * weights, axis=0)
         repeats = np.bincount(owner[again], minlength=len(group)).astype(np.float32)
         sums[:, DIMENSION:] += repeats[:, None] * index_vectors(REPEAT)
         distinct = np.bincount(which, minlength=len(group)).astype(np.float32)
