@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer, normalizers
 
 # Parts whose ids a task keeps (about 200 bytes each); when they are more, the older half goes.
@@ -25,7 +27,7 @@ PIECES = re.compile(r"'[sStTmMdD]|'[rR][eE]|'[vV][eE]|'[lL][lL]|[a-zA-Z]+|[0-9]|
 GROUP_CHARS = 2_000_000
 
 
-def groups_of_text(texts: list[str | None], chars: int = GROUP_CHARS, most: int = 10_000) -> Iterator[list[str]]:
+def groups_of_text(texts: Iterable[str | None], chars: int = GROUP_CHARS, most: int = 10_000) -> Iterator[list[str]]:
     """Consecutive texts, at most so many, of together about so many characters; null is the empty text."""
     group, size = [], 0
     for text in texts:
@@ -61,8 +63,8 @@ class WordEncoder:
         self.ends[[i for token, i in self.whole.get_vocab().items() if token.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, parts: set[str]) -> dict[str, bytes]:
-        """The ids of new parts, which are kept."""
+    def _learn(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of new distinct parts, which are kept."""
         plain = [p for p in parts if p.isascii() and SPECIAL not in p]
         other = [p for p in parts if not p.isascii() or SPECIAL in p]
         new: dict[str, bytes] = {}
@@ -90,17 +92,23 @@ class WordEncoder:
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text in turn; none for null."""
         for group in groups_of_text(texts):
-            split = [t.replace("\n", " ").split(" ") for t in group]
-            found = [list(map(self.known.get, parts)) for parts in split]
-            missing: set[str] = set()
-            for parts, ids in zip(split, found):
-                if None in ids:
-                    missing.update(p for p, i in zip(parts, ids) if i is None)
-            new = self._learn(missing) if missing else {}
-            for parts, ids in zip(split, found):
-                if None in ids:
-                    ids = [new[p] if i is None else i for p, i in zip(parts, ids)]
-                yield b"".join(ids)
+            parts = pc.split_pattern(pa.array([t.replace("\n", " ") for t in group], pa.string()), " ")
+            coded, bounds = parts.values.dictionary_encode(), parts.offsets.to_numpy()
+            distinct, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            ids = list(map(self.known.get, distinct))
+            missing = [k for k, i in enumerate(ids) if i is None]
+            new = self._learn([distinct[k] for k in missing]) if missing else {}
+            for k in missing:
+                ids[k] = new[distinct[k]]
+            # The ids of each distinct part are copied to all its places.
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+            flat, starts = np.frombuffer(b"".join(ids), dtype="<u2"), np.cumsum(sizes) - sizes
+            ends = np.concatenate([[0], np.cumsum(sizes[index])])
+            places = np.repeat(starts[index] - ends[:-1], sizes[index])
+            places += np.arange(ends[-1])
+            data, edges = flat[places], ends[bounds].tolist()
+            for start, end in zip(edges, edges[1:]):
+                yield data[start:end].tobytes()
 
 
 @lru_cache(maxsize=1)
