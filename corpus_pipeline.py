@@ -24,28 +24,46 @@ from lakestar.llm.quality import keep_good  # noqa: E402
 from lakestar.llm.queries import held_out_for_quality, in_first_snapshot  # noqa: E402
 
 
+# Texts are long: with Spark's 10,000 rows a batch, buffers of 30 MB each are held several times by every task.
+ARROW_ROWS, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have the session hand at most ``BATCH_ROWS`` rows at a time to Python, or fewer if it says so.
+
+    Spark reads the setting when a stage is written, which its caller does, so it stays set.
+    """
+    now = int(spark.conf.get(ARROW_ROWS, "10000"))
+    spark.conf.set(ARROW_ROWS, str(min(now, BATCH_ROWS) if now > 0 else BATCH_ROWS))
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
+    small_batches(spark)
     return keep_good(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"), held_out_for_quality())
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id."""
+    small_batches(spark)
     return drop_exact_duplicates(docs, in_first_snapshot())
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links by 0.8 of its five-word shingles."""
+    small_batches(spark)
     return drop_near_duplicates(docs, n=5, percent=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
+    small_batches(spark)
     return decontaminate(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents encoded and decoded: counts and digests."""
+    small_batches(spark)
     return bpe_digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

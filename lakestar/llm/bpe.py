@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame
 from lakestar.llm.common import release_memory
 from lakestar.llm.tokenizer_words import groups_of_text
 
-# Chunks of text whose ids a task keeps (about 200 bytes each); when they are more, it starts anew.
-KEPT_CHUNKS = 500_000
+# Parts of text whose ids a task keeps (about 200 bytes each), twice: when so many are new or were used again
+# since the last time, those that were not are let go.
+KEPT_CHUNKS = 100_000
 # Words are encoded together by the size of their trees, in blocks of about so many leaves.
 BLOCK_LEAVES = 1 << 18
 NONE = np.int64(1 << 62)
@@ -160,7 +161,12 @@ class ByteBPE:
         self.split = regex.compile(SPLIT)
         marks = "|".join(regex.escape(s) for s in sorted(self.specials, key=len, reverse=True))
         self.special = regex.compile(f"({marks})") if marks else None
-        self.known: dict[str, bytes] = {}  # parts of texts between blanks
+        self.forget()
+
+    def forget(self) -> None:
+        """Let the ids of parts go, which are parts of texts between blanks: those used of late, and those before."""
+        self.known: dict[str, bytes] = {}
+        self.former: dict[str, bytes] = {}
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each word (no merge crosses words)."""
@@ -245,13 +251,13 @@ class ByteBPE:
         parts = pc.split_pattern(pa.array(texts, pa.string()), " ")
         coded, bounds = parts.values.dictionary_encode(), parts.offsets.to_numpy()
         distinct, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        if len(self.known) > KEPT_CHUNKS:
+            self.known, self.former = {}, self.known
         ids = list(map(self.known.get, distinct))
-        new = [k for k, i in enumerate(ids) if i is None]
-        if len(self.known) + len(new) > KEPT_CHUNKS:
-            new, self.known = range(len(distinct)), {}
-        self._learn([distinct[k] for k in new])
-        for k in new:
-            ids[k] = self.known[distinct[k]]
+        unknown = [p for p, i in zip(distinct, ids) if i is None]
+        self.known.update((p, i) for p in unknown if (i := self.former.get(p)) is not None)
+        self._learn([p for p in unknown if p not in self.known])
+        ids = list(map(self.known.__getitem__, distinct))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat, starts = np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(sizes) - sizes
         # The first part of a text has no blank before it.
@@ -275,8 +281,8 @@ class ByteBPE:
             else:
                 yield begin[first] + out[ends[bounds[i]] : ends[bounds[i + 1] - 1]].tobytes()
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of each text in turn; none for null."""
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text in turn; none for null. Texts are taken a group at a time."""
         for group in groups_of_text(texts):
             yield from self._encode_group(group)
 
@@ -309,7 +315,7 @@ def bpe_digests(documents: DataFrame, tokenizer_path: str) -> DataFrame:
         coder = byte_bpe(tokenizer_path)
         for batch in batches:
             sizes, digests, decoded = [], [], []
-            for ids in coder.encode(batch["text"].to_pylist()):
+            for ids in coder.encode(text.as_py() for text in batch["text"]):
                 sizes.append(len(ids) // 4)
                 digests.append(hashlib.sha256(ids).hexdigest())
                 decoded.append(hashlib.sha256(coder.decode(ids).encode("utf-8", "surrogatepass")).hexdigest())
@@ -317,7 +323,7 @@ def bpe_digests(documents: DataFrame, tokenizer_path: str) -> DataFrame:
                 [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         # The worker lives on, perhaps for other work.
-        coder.known.clear()
+        coder.forget()
         release_memory()
 
     kind = documents.schema["doc_id"].dataType.simpleString()
