@@ -138,9 +138,10 @@ def pooled(texts: list[str | None], vectors: WordVectors, tokens: Tokens) -> np.
         which, token = np.divmod(pairs, max(1, len(words)))
         sums = np.zeros((len(group), 2 * DIMENSION), dtype=np.float32)
         edges = [*np.flatnonzero(np.diff(which, prepend=-1)).tolist(), len(which)]
-        for start, end in zip(edges, edges[1:]):  # one text at a time: its rows are added in cache
+        for start, end in zip(edges, edges[1:]):  # one text at a time, so that its columns are added in cache
             weights = counts[start:end, None].astype(np.float32)
-            sums[which[start]] = np.add.reduce(table[token[start:end]] * weights, axis=0)
+            columns = np.ascontiguousarray((table[token[start:end]] * weights).T)
+            sums[which[start]] = np.add.reduce(columns, axis=1)
         repeats = np.bincount(owner[again], minlength=len(group)).astype(np.float32)
         sums[:, DIMENSION:] += repeats[:, None] * index_vectors(REPEAT)
         distinct = np.bincount(which, minlength=len(group)).astype(np.float32)
