@@ -143,7 +143,7 @@ def write_tokens(
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = word_encoder(tokenizer_path), np.array([END], "<u2").tobytes()
         for batch in batches:
-            ids = [i + end for i in encoder.encode(batch["text"].to_pylist())]
+            ids = [i + end for i in encoder.encode(batch["text"])]
             shard = [0 if d is None else bisect_right(bounds, d) for d in batch["doc_id"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(shard, pa.int32()), pa.array(ids, pa.binary())],
