@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from lakestar.plans import gold, queries
+from lakestar.plans import extract, gold, queries
 from lakestar.plans.extract import run_extract
 from lakestar.plans.fixture_data import pages
 from lakestar.plans.layout import Layout
@@ -56,13 +56,13 @@ def test_gzip_files_are_written_at_the_fast_level(spark, tmp_path, kind):
 def test_made_pages_are_cut_into_files(spark, sf, tmp_path, monkeypatch):
     seen = {}
 
-    def extract(spark, source, *rest):
+    def counted(spark, source, *rest):
         files = glob.glob(f"{source}/part-*")
         seen["rows"] = [sum(1 for _ in gzip.open(f)) for f in files]
         return real(spark, source, *rest)
 
     real = queries.run_extract
-    monkeypatch.setattr(queries, "run_extract", extract)
+    monkeypatch.setattr(queries, "run_extract", counted)
     monkeypatch.setattr(queries, "PAGES_PER_FILE", 100)
     queries._extract(spark, sf, str(tmp_path / "pages"), Layout(str(tmp_path / "lake")), T0)
     lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
@@ -82,3 +82,12 @@ def test_gold_reads_silver_in_small_scans(spark, sf, monkeypatch):
     before = spark.conf.get(SCAN_BYTES)
     gold.run_gold(spark, layout, T1, "src")
     assert len(seen) == 2 and max(seen) <= 2 * SORTED_SCAN_BYTES and spark.conf.get(SCAN_BYTES) == before
+
+
+def test_pages_are_read_in_small_scans(spark, sf, tmp_path, monkeypatch):
+    pages(spark, sf).repartition(20).write.json(f"{tmp_path}/pages", compression="gzip")
+    monkeypatch.setattr(extract, "SORTED_SCAN_BYTES", 1 << 20)
+    layout = Layout(str(tmp_path / "lake"))
+    run_extract(spark, f"{tmp_path}/pages", layout, T0, "web")
+    # A task reads one of the small files, not as many as the session's scans hold.
+    assert len(glob.glob(f"{layout.raw}/items/*/part-*")) == 20
